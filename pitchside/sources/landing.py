@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.functions.payload import payload_error_text, payload_is_ok, payload_result_count
+from pitchside.functions.payload import (envelope_error_text, envelope_is_ok,
+                                         envelope_result_count, payload_envelope)
 from pitchside.sources import schemas as S
 
 # Landed file layout for raw bodies: <root>/<endpoint path>/<params>.json with params either
@@ -50,13 +51,14 @@ def read_landed_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def audit(landed: DataFrame) -> DataFrame:
-    """Attach ``is_ok``, ``error_text`` and ``result_count`` to every landed payload."""
-    return landed.select(
-        "*",
-        payload_is_ok("raw_payload").alias("is_ok"),
-        payload_error_text("raw_payload").alias("error_text"),
-        payload_result_count("raw_payload").alias("result_count"),
-    )
+    """Attach ``is_ok``, ``error_text`` and ``result_count`` to every landed payload (one JSON
+    pass per payload: the envelope is parsed once and the three checks read its fields)."""
+    env = F.col("__env")
+    return (landed.select("*", payload_envelope("raw_payload").alias("__env"))
+            .select(*landed.columns,
+                    envelope_is_ok(env).alias("is_ok"),
+                    envelope_error_text(env).alias("error_text"),
+                    envelope_result_count(env).alias("result_count")))
 
 
 def audit_summary(landed: DataFrame) -> DataFrame:

@@ -18,7 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pitchside.session import checkpoint_root
 
 # Bump when a builder's output changes, so stale copies are not reused.
-BUILD_VERSION = 3
+BUILD_VERSION = 5
+
+# Extra path component; a benchmark sets a fresh one to time a cold build.
+BUILD_SCOPE = ""
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -43,7 +46,8 @@ def _input_tag(inputs: Sequence[str]) -> str:
 
 
 def table_path(spark: SparkSession, name: str, inputs: Sequence[str]) -> str:
-    return f"{checkpoint_root(spark)}/pitchside/{name}-v{BUILD_VERSION}-{_input_tag(inputs)}"
+    scope = f"{BUILD_SCOPE}/" if BUILD_SCOPE else ""
+    return f"{checkpoint_root(spark)}/pitchside/{scope}{name}-v{BUILD_VERSION}-{_input_tag(inputs)}"
 
 
 def materialize_once(spark: SparkSession, name: str, inputs: Sequence[str],

@@ -186,64 +186,93 @@ def standings_payloads(facts: DataFrame) -> DataFrame:
                                  _envelope("standings", params, resp)))
 
 
-def _statistics_response(key: Column, stale: Column) -> Column:
-    teams = F.array(F.col("home_id"), F.col("away_id"))
+def _empty_like(arr: Column) -> Column:
+    """An empty array of ``arr``'s element type."""
+    return F.slice(arr, 1, 0)
+
+
+def _sides() -> list[tuple[Column, int]]:
+    return [(F.col("t_0"), 0), (F.col("t_1"), 1)]
+
 
-    def block(t: Column) -> Column:
+def _with_side_bases(finished: DataFrame) -> DataFrame:
+    """Per-side INT residues that every generated value derives from, computed once per row so
+    the unrolled value expressions stay small INT arithmetic (no per-value casts)."""
+    key = F.col("fixture_id")
+    cols = [F.col("home_id").cast("int").alias("t_0"), F.col("away_id").cast("int").alias("t_1"),
+            (key % 10).cast("string").alias("r10")]
+    for side, tid in ((0, "home_id"), (1, "away_id")):
+        h = key * 31 + F.col(tid) * 17
+        cols += [(h % 60).cast("int").alias(f"h60_{side}"), (h % 20).cast("int").alias(f"h20_{side}"),
+                 ((key % 9 + F.col(tid) * 3) % 9).cast("int").alias(f"pb_{side}")]
+    return finished.select("*", *cols)
+
+
+def _statistics_response(key: Column, stale: Column) -> Column:
+    """Unrolled over the two sides and 16 stats (plain expressions, so they compile to code;
+    higher-order lambdas would be interpreted row by row). With h = key*31 + t*17 + k*7:
+    h % 60 = (h60 + 7k % 60) % 60 and h % 20 = (h20 + 7k % 20) % 20."""
+    blocks = []
+    for t, side in _sides():
         entries = []
         for k, (label, _, _) in enumerate(S.TEAM_STAT_SPEC):
-            h = key * 31 + t * 17 + k * 7
+            m60 = (F.col(f"h60_{side}") + (7 * k) % 60) % 60
+            m20 = (F.col(f"h20_{side}") + (7 * k) % 20) % 20
             if label in ("Ball Possession", "Passes %"):
-                value = _str(F.concat((F.lit(20) + h % 60).cast("string"), F.lit("%")))
+                value = _str(F.concat((m60 + 20).cast("string"), F.lit("%")))
             elif label in ("Yellow Cards", "Red Cards", "Offsides", "Goalkeeper Saves"):
-                value = F.when((h % 20) % 4 != 0, _num((h % 20) % 6))
+                value = F.when(m20 % 4 != 0, _num(m20 % 6))
             elif label == "Fouls":
-                value = F.when(key % 11 == 0, _str(F.lit("N/A"))).otherwise(_num(h % 20))
+                value = F.when(key % 11 == 0, _str(F.lit("N/A"))).otherwise(_num(m20))
             else:
-                value = _num(h % 20)
+                value = _num(m20)
             value = F.when(stale, _str(F.lit("99"))).otherwise(value)
-            entries.append(F.struct(F.lit(label).alias("type"), value.alias("value")))
-        stats = F.filter(F.array(*entries),
-                         lambda e: ~((e["type"] == F.lit("Offsides")) & (key % 9 == 0)))
-        return F.struct(
-            F.struct(t.cast("int").alias("id"),
-                     F.concat(F.lit("Team "), t.cast("string")).alias("name")).alias("team"),
-            stats.alias("statistics"))
-
-    return F.filter(F.transform(teams, block), lambda _: key % 50 != 0)
-
-
-def _player_entry(key: Column, t: Column, n: Column, stale: Column) -> Column:
+            entries.append((label, F.struct(F.lit(label).alias("type"), value.alias("value"))))
+        full = F.array(*[e for _, e in entries])
+        without_offsides = F.array(*[e for label, e in entries if label != "Offsides"])
+        stats = F.when(key % 9 == 0, without_offsides).otherwise(full)
+        blocks.append(F.struct(
+            F.struct(t.alias("id"), F.concat(F.lit("Team "), t.cast("string")).alias("name")
+                     ).alias("team"),
+            stats.alias("statistics")))
+    both = F.array(*blocks)
+    return F.when(key % 50 == 0, _empty_like(both)).otherwise(both)
+
+
+def _player_entry(key: Column, t: Column, base: Column, n: Column, stale: Column) -> Column:
+    """One player of team ``t`` (``n`` in 1..11). Leaf j is (key + 3t + 5n + j) % 9, computed as
+    (base + 5n + j) % 9 with base = (key % 9 + 3t) % 9, all INT arithmetic."""
     groups = []
     j = 0
     for group, leaves in S.PLAYER_STAT_GROUPS:
         fields = []
         for leaf in (leaves or ("",)):
             if (group, leaf) == ("games", "minutes"):
-                v = F.when(n > 9, F.lit(None)).otherwise(F.when(stale, 99).otherwise(90 - n))
+                v = F.when(n <= 9, F.when(stale, F.lit(99)).otherwise(F.lit(90) - n))
             elif (group, leaf) == ("games", "position"):
-                v = (F.when(n == 1, "G").when(n <= 5, "D").when(n <= 9, "M").otherwise("F"))
+                v = F.when(n == 1, "G").when(n <= 5, "D").when(n <= 9, "M").otherwise("F")
             elif (group, leaf) == ("games", "rating"):
-                v = F.concat((F.lit(5) + n % 5).cast("string"), F.lit("."), (key % 10).cast("string"))
+                v = F.concat((F.lit(5) + n % 5).cast("string"), F.lit("."), F.col("r10"))
             elif (group, leaf) == ("games", "captain"):
                 v = n == 1
             elif (group, leaf) == ("games", "substitute"):
                 v = n > 8
             elif (group, leaf) == ("passes", "accuracy"):
-                v = F.when(stale, _num(F.lit(99))).otherwise(
-                    F.when(n % 4 == 0, _str(F.concat((F.lit(60) + n).cast("string"), F.lit("%"))))
+                v = (F.when(stale, F.parse_json(F.lit("99")))
+                     .when(n % 4 == 0, _str(F.concat((F.lit(60) + n).cast("string"), F.lit("%"))))
                      .otherwise(_num(F.lit(60) + n)))
             else:
                 j += 1
-                raw = (key + t * 3 + n * 5 + j) % 9
-                v = F.when(stale, F.lit(99)).otherwise(F.when(raw != 0, raw)).cast("int")
+                raw = (base + n * 5 + j) % 9
+                v = F.when(stale, F.lit(99)).when(raw != 0, raw)
             fields.append((leaf, v))
         if leaves:
             groups.append(F.struct(*[v.alias(leaf) for leaf, v in fields]).alias(group))
         else:
             groups.append(fields[0][1].alias(group))
-    pid = (t * 100 + n).cast("int")
-    stats = F.filter(F.array(F.struct(*groups)), lambda _: ~((n == 11) & (key % 7 == 0)))
+    pid = t * 100 + n
+    stats = F.array(F.struct(*groups))
+    stats = F.when((n == 11) & (key % 7 == 0), _empty_like(stats)).otherwise(stats)
     return F.struct(
         F.struct(pid.alias("id"), F.concat(F.lit("Player "), pid.cast("string")).alias("name")
                  ).alias("player"),
@@ -251,56 +280,65 @@ def _player_entry(key: Column, t: Column, n: Column, stale: Column) -> Column:
 
 
 def _players_response(key: Column, stale: Column) -> Column:
-    teams = F.array(F.struct(F.col("home_id").alias("id"), F.lit(0).alias("side")),
-                    F.struct(F.col("away_id").alias("id"), F.lit(1).alias("side")))
-
-    def block(tm: Column) -> Column:
-        t = tm["id"]
+    """Sides unrolled; the 11 players are one ``transform`` over 1..11 (a single player
+    expression, which keeps the generated code small)."""
+    blocks = []
+    for t, side in _sides():
+        base = F.col(f"pb_{side}")
         players = F.transform(F.sequence(F.lit(1), F.lit(11)),
-                              lambda n: _player_entry(key, t, n, stale))
-        players = F.filter(players, lambda _: ~((tm["side"] == 1) & (key % 13 == 0)))
-        return F.struct(
-            F.struct(t.cast("int").alias("id"),
-                     F.concat(F.lit("Team "), t.cast("string")).alias("name")).alias("team"),
-            players.alias("players"))
-
-    return F.transform(teams, block)
+                              lambda n: _player_entry(key, t, base, n, stale))
+        if side == 1:
+            players = F.when(key % 13 == 0, _empty_like(players)).otherwise(players)
+        blocks.append(F.struct(
+            F.struct(t.alias("id"), F.concat(F.lit("Team "), t.cast("string")).alias("name")
+                     ).alias("team"),
+            players.alias("players")))
+    return F.array(*blocks)
 
 
 def _lineups_response() -> Column:
-    teams = F.array(F.col("home_id"), F.col("away_id"))
-    return F.transform(teams, lambda t: F.struct(
+    return F.array(*[F.struct(
         F.struct(t.alias("id"), F.concat(F.lit("Team "), t.cast("string")).alias("name")).alias("team"),
         F.lit("4-4-2").alias("formation"),
-        F.transform(F.sequence(F.lit(1), F.lit(11)), lambda n: F.struct(F.struct(
-            (t * 100 + n).alias("id"), F.concat(F.lit("Player "), (t * 100 + n).cast("string")).alias("name")
-        ).alias("player"))).alias("startXI")))
+        F.array(*[F.struct(F.struct(
+            (t * 100 + n).alias("id"),
+            F.concat(F.lit("Player "), (t * 100 + n).cast("string")).alias("name")).alias("player"))
+            for n in range(1, 12)]).alias("startXI"))
+        for t, _ in _sides()])
 
 
 def detail_payloads(facts: DataFrame) -> DataFrame:
-    """Statistics, lineups and players payloads for every finished fixture (one pass per fixture:
-    the endpoint x copy fan-out is an ``explode`` of a fixed 5-element array)."""
-    finished = facts.filter(F.col("short") != "NS")
+    """Statistics, lineups and players payloads for every finished fixture.
+
+    One projection per endpoint (each compiles only its own body builder), unioned; the stale
+    copies are a per-row ``explode`` of a fixed two-element array, so nothing shuffles.
+    """
+    finished = _with_side_bases(facts.filter(F.col("short") != "NS"))
     key = F.col("fixture_id")
     rejected = key % 17 == 0
-    variants = F.array(*[F.struct(F.lit(ep).alias("ep"), F.lit(st).alias("stale"))
-                         for ep, st in ((S.STATISTICS, False), (S.LINEUPS, False),
-                                        (S.PLAYERS, False), (S.STATISTICS, True),
-                                        (S.PLAYERS, True))])
-    fanned = (finished.select("*", F.explode(variants).alias("v"))
-              .filter(~F.col("v.stale") | ((key % 3 == 0) & ~rejected)))
-    ep = F.col("v.ep")
-    stale = F.col("v.stale")
     params = F.struct(key.alias("fixture"))
-    body = (F.when(rejected, _error_envelope("fixtures/detail", params))
-            .when(ep == S.STATISTICS, _envelope("fixtures/statistics", params,
-                                                _statistics_response(key, stale)))
-            .when(ep == S.PLAYERS, _envelope("fixtures/players", params,
-                                             _players_response(key, stale)))
-            .otherwise(_envelope("fixtures/lineups", params, _lineups_response())))
-    fetched = (F.col("played_at") + F.expr("INTERVAL 24 HOURS")
-               - F.when(stale, F.expr("INTERVAL 1 HOUR")).otherwise(F.expr("INTERVAL 0 HOURS")))
-    return fanned.select(*_landed(ep, key, F.lit(None), F.lit(None), fetched, body))
+    builders = (
+        (S.STATISTICS, True, lambda st: _envelope("fixtures/statistics", params,
+                                                  _statistics_response(key, st))),
+        (S.LINEUPS, False, lambda st: _envelope("fixtures/lineups", params, _lineups_response())),
+        (S.PLAYERS, True, lambda st: _envelope("fixtures/players", params,
+                                               _players_response(key, st))),
+    )
+    parts = []
+    for endpoint, has_stale, build in builders:
+        rows = finished
+        if has_stale:
+            rows = (finished.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("stale"))
+                    .filter(~F.col("stale") | ((key % 3 == 0) & ~rejected)))
+        else:
+            rows = finished.withColumn("stale", F.lit(False))
+        stale = F.col("stale")
+        body = F.when(rejected, _error_envelope("fixtures/detail", params)).otherwise(build(stale))
+        fetched = (F.col("played_at") + F.expr("INTERVAL 24 HOURS")
+                   - F.when(stale, F.expr("INTERVAL 1 HOUR")).otherwise(F.expr("INTERVAL 0 HOURS")))
+        parts.append(rows.select(*_landed(F.lit(endpoint), key, F.lit(None), F.lit(None),
+                                          fetched, body)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def landed_from_orders(orders: DataFrame) -> DataFrame:
