@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitchside.session import ensure_utc
 from pitchside.sources import synth
 from pitchside.sources.bronze import read_raw
-from pitchside.sources.landing import read_landed, tag
+from pitchside.sources.landing import audit, read_landed, tag
 from pitchside.sources.storage import materialize_once
 
 
@@ -21,13 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every landed API body derived from ``orders`` (good and rejected)."""
+    """Every landed API body derived from ``orders`` (good and rejected), with the envelope
+    audit recorded at landing time, as a fetcher checks each response when it arrives."""
     ensure_utc(spark)
     src = f"{sf_dir.rstrip('/')}/orders.parquet"
-    path = materialize_once(spark, "landed", [src],
-                            lambda: synth.landed_from_orders(table(spark, sf_dir, "orders")),
-                            partition_by=["endpoint"])
-    return read_landed(spark, path)
+    path = materialize_once(
+        spark, "landed", [src],
+        lambda: audit(synth.landed_from_orders(table(spark, sf_dir, "orders"))),
+        partition_by=["endpoint"])
+    return read_landed(spark, path, audited=True)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

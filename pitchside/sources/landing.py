@@ -19,9 +19,10 @@ from pitchside.sources import schemas as S
 _FILE_PARAMS = r"(?:league=(\d+)_season=(\d+)|fixture=(\d+))\.json$"
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Landed payloads stored as Parquet (``LANDED`` schema), partitioned by endpoint."""
-    return spark.read.schema(S.LANDED).parquet(path)
+def read_landed(spark: SparkSession, path: str, audited: bool = False) -> DataFrame:
+    """Landed payloads stored as Parquet, partitioned by endpoint (``LANDED`` schema, or
+    ``LANDED_AUDITED`` when the audit was recorded at landing)."""
+    return spark.read.schema(S.LANDED_AUDITED if audited else S.LANDED).parquet(path)
 
 
 def read_landed_files(spark: SparkSession, root: str) -> DataFrame:
@@ -50,9 +51,18 @@ def read_landed_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+AUDIT_COLUMNS = ("is_ok", "error_text", "result_count")
+
+
 def audit(landed: DataFrame) -> DataFrame:
     """Attach ``is_ok``, ``error_text`` and ``result_count`` to every landed payload (one JSON
-    pass per payload: the envelope is parsed once and the three checks read its fields)."""
+    pass per payload: the envelope is parsed once and the three checks read its fields).
+
+    Rows that already carry the audit (recorded at landing) are passed through, so the payload
+    text is parsed once per landing, not once per consumer.
+    """
+    if all(c in landed.columns for c in AUDIT_COLUMNS):
+        return landed
     env = F.col("__env")
     return (landed.select("*", payload_envelope("raw_payload").alias("__env"))
             .select(*landed.columns,

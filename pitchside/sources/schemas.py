@@ -40,6 +40,13 @@ LANDED = T.StructType([
     T.StructField("raw_payload", T.StringType()),
 ])
 
+# Landed payloads with the envelope audit recorded once, at landing time.
+LANDED_AUDITED = T.StructType(LANDED.fields + [
+    T.StructField("is_ok", T.BooleanType()),
+    T.StructField("error_text", T.StringType()),
+    T.StructField("result_count", T.IntegerType()),
+])
+
 # ---- fixed values: endpoints, statuses, finished codes ----------------------------------------
 
 FIXTURES = "fixtures"
