@@ -18,8 +18,12 @@ from pitchside.plans.marts import match_results, team_tournament_profile
 from pitchside.plans.staging import (latest_fixture_payloads, latest_fixtures_payloads,
                                      stg_fixtures, stg_match_statistics, stg_player_statistics)
 from pitchside.sources import inputs
+from pitchside.sources.bronze import read_raw
 from pitchside.sources import schemas as S
 from pitchside.sources.landing import audit, audit_summary, quarantine
+from pitchside.sources.storage import table_path
+from pitchside.streaming.landing_stream import (queue_from_outcome_log, read_outcome_log,
+                                                run_landing_stream)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +73,18 @@ def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                "league_id", "season")
 
 
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The landed payloads replayed through the streaming landing job (several micro-batches);
+    returns (bronze log, outcome log). Re-running is a no-op: the stream checkpoint remembers
+    which files were processed."""
+    inputs.landed(spark, sf_dir)
+    source = table_path(spark, "landed", [f"{sf_dir.rstrip('/')}/orders.parquet"])
+    root = table_path(spark, "landing-stream", [f"{sf_dir.rstrip('/')}/orders.parquet"])
+    run_landing_stream(spark, source, f"{root}/raw", f"{root}/outcomes", f"{root}/_checkpoint",
+                       max_files_per_trigger=4, schema=S.LANDED_AUDITED)
+    return read_raw(spark, f"{root}/raw"), read_outcome_log(spark, f"{root}/outcomes")
+
+
 def _latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = inputs.table(spark, sf_dir, "events")
     return latest_per_key(events, ["user_id"], ["ts"], ["event_id"])
@@ -130,6 +146,10 @@ QUERIES: dict[str, Query] = {
     "payload_audit": lambda s, d: audit_summary(inputs.landed(s, d)),
     "payload_quarantine": lambda s, d: quarantine(inputs.landed(s, d)),
     "tagged_payloads": _tagged,
+    # streaming landing (same answers as the batch path)
+    "stream_tagged_payloads": lambda s, d: _streamed(s, d)[0].select(
+        "ingested_at", "endpoint", "fixture_id", "league_id", "season"),
+    "stream_queue_mark": lambda s, d: queue_from_outcome_log(_seeded(s, d), _streamed(s, d)[1]),
     # operator checks straight on driver tables
     "latest_event_per_user": _latest_event_per_user,
     "parse_event_props": _parse_event_props,

@@ -286,6 +286,14 @@ groups AS (
 
 def oracle_sql() -> dict[str, str]:
     w = f"WITH {_FX}"
+    q = _queries(w)
+    # The streaming landing job must leave the same log and queue as the batch path.
+    q["stream_tagged_payloads"] = q["tagged_payloads"]
+    q["stream_queue_mark"] = q["queue_mark"]
+    return q
+
+
+def _queries(w: str) -> dict[str, str]:
     return {
         "stg_fixtures": f"{w}, {_STG_FIXTURES} SELECT * FROM stg",
         "stg_match_statistics": f"{w}, {_STAT_LONG} SELECT * FROM stat_long",
