@@ -15,8 +15,9 @@ from pitchside.operators import duplicate_keys, latest_per_key, pivot_long, take
 from pitchside.plans import queue as Q
 from pitchside.plans.intermediate import int_player_stats, int_team_match_stats
 from pitchside.plans.marts import match_results, team_tournament_profile
-from pitchside.plans.staging import (latest_fixture_payloads, latest_fixtures_payloads,
-                                     stg_fixtures, stg_match_statistics, stg_player_statistics)
+from pitchside.plans.staging import (fixture_rows, latest_fixture_payloads,
+                                     latest_fixtures_payloads, stg_fixtures, stg_match_statistics,
+                                     stg_player_statistics)
 from pitchside.sources import inputs
 from pitchside.sources.bronze import read_raw
 from pitchside.sources import schemas as S
@@ -35,7 +36,7 @@ TOP_OPEN_ORDERS = 20
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = inputs.bronze(spark, sf_dir)
-    return team_tournament_profile(stg_fixtures(raw),
+    return team_tournament_profile(fixture_rows(raw),
                                    int_team_match_stats(stg_match_statistics(raw)))
 
 
@@ -118,7 +119,7 @@ QUERIES: dict[str, Query] = {
     "stg_match_statistics": lambda s, d: stg_match_statistics(inputs.bronze(s, d)),
     "int_team_match_stats": lambda s, d: int_team_match_stats(
         stg_match_statistics(inputs.bronze(s, d))),
-    "match_results": lambda s, d: match_results(stg_fixtures(inputs.bronze(s, d))),
+    "match_results": lambda s, d: match_results(fixture_rows(inputs.bronze(s, d))),
     "team_tournament_profile": gold,
     "stg_player_statistics": lambda s, d: stg_player_statistics(inputs.bronze(s, d)),
     "int_player_stats": lambda s, d: int_player_stats(stg_player_statistics(inputs.bronze(s, d))),

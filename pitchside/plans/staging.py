@@ -49,17 +49,25 @@ def latest_fixture_payloads(raw: DataFrame, endpoint: str) -> DataFrame:
     return latest_per_key(rows, ["fixture_id"], ["ingested_at"], ["raw_payload"])
 
 
-def stg_fixtures(raw: DataFrame, referee_strategy: str = "aggregate") -> DataFrame:
-    """One row per fixture of the latest fixtures payload of each league-season.
+def fixture_rows(raw: DataFrame) -> DataFrame:
+    """The fixtures model without ``referee_games``: what consumers that never read the count
+    (match results, gold) should scan, so the count's extra aggregate and join are not planned.
 
     Parsed FAILFAST with the full schema: a malformed payload fails the query. Fixtures without an
-    id are dropped before ``referee_games`` is counted; NULL referees are counted as one group.
+    id are dropped.
     """
     latest = latest_fixtures_payloads(raw).select("raw_payload")
     parsed = parse_json_column(latest, "raw_payload", S.FIXTURES_DDL, "j", mode="FAILFAST")
     exploded = explode_path(parsed, "j.response", "r")
-    fixtures = project_paths(exploded.filter(F.col("r.fixture.id").isNotNull()), FIXTURE_COLUMNS)
-    counted = partition_count(fixtures, ["referee"], "referee_games", strategy=referee_strategy)
+    return project_paths(exploded.filter(F.col("r.fixture.id").isNotNull()), FIXTURE_COLUMNS)
+
+
+def stg_fixtures(raw: DataFrame, referee_strategy: str = "aggregate") -> DataFrame:
+    """One row per fixture of the latest fixtures payload of each league-season, with
+    ``referee_games`` counted after fixtures without an id are dropped (NULL referees are one
+    group)."""
+    counted = partition_count(fixture_rows(raw), ["referee"], "referee_games",
+                              strategy=referee_strategy)
     return counted.select(*STG_FIXTURES_ORDER)
 
 
