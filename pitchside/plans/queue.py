@@ -96,13 +96,26 @@ def requeue(queue: DataFrame, pairs: DataFrame) -> DataFrame:
           if c == "status" else F.col(c) for c in queue.columns])
 
 
-def attempt_outcomes(claimed: DataFrame, landed: DataFrame) -> DataFrame:
+# A claim is at most ``budget`` rows; up to this many it is broadcast to the landed side.
+CLAIM_BROADCAST_MAX = 1_000_000
+
+
+def attempt_outcomes(claimed: DataFrame, landed: DataFrame,
+                     claim_size: int | None = None) -> DataFrame:
     """What one fetch attempt of each claimed pair yields: the latest landed body for the pair, or
     nothing. ``done`` when a body landed and passes the audit, ``failed`` otherwise (absent or
-    rejected). Carries the body for the append."""
-    latest = latest_per_key(
-        landed.filter(F.col("endpoint").isin(*S.CHECKPOINT_ENDPOINTS)), KEYS, ["fetched_at"],
-        ["raw_payload"])
+    rejected). Carries the body for the append.
+
+    The landed side is first cut to the claimed keys with a semi join, so only the claimed pairs'
+    bodies reach the dedupe shuffle. ``claim_size`` (the budget) bounds the claim; within
+    ``CLAIM_BROADCAST_MAX`` the keys are broadcast, beyond it the semi join is left to the planner.
+    """
+    keys = claimed.select(*KEYS)
+    if claim_size is not None and claim_size <= CLAIM_BROADCAST_MAX:
+        keys = F.broadcast(keys)
+    wanted = (landed.filter(F.col("endpoint").isin(*S.CHECKPOINT_ENDPOINTS))
+              .join(keys, KEYS, "left_semi"))
+    latest = latest_per_key(wanted, KEYS, ["fetched_at"], ["raw_payload"])
     got = audit(latest).select(*KEYS, "fetched_at", "raw_payload", "is_ok", "league_id", "season")
     joined = claimed.select(*KEYS).join(got, KEYS, "left")
     ok = F.coalesce(F.col("is_ok"), F.lit(False))
@@ -126,7 +139,7 @@ def backfill_batch(queue: DataFrame, landed: DataFrame, limit: int | None = None
     claimed = claim(queue, limit)
     if dry_run:
         return {"claimed": claimed}
-    outcomes = attempt_outcomes(claimed, landed)
+    outcomes = attempt_outcomes(claimed, landed, claim_size=budget(limit))
     good = outcomes.filter(F.col("status") == S.DONE).select(
         "endpoint", "fixture_id", "league_id", "season", "fetched_at", "raw_payload")
     stamp = at if at is not None else F.col("fetched_at")

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,7 +11,9 @@ from pitchside.session import build_session, checkpoint_root  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("pitchside-tests", master="local[4]", shuffle_partitions=4)
+    warehouse = tempfile.mkdtemp(prefix="pitchside-warehouse-")
+    s = build_session("pitchside-tests", master="local[4]", shuffle_partitions=4,
+                      conf={"spark.sql.warehouse.dir": warehouse})
     checkpoint_root(s)  # picks a local folder only when spark.checkpoint.dir is unset
     yield s
     s.stop()
