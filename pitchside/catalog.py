@@ -133,6 +133,7 @@ QUERIES: dict[str, Query] = {
     # work queue
     "finished_fixtures": lambda s, d: Q.finished_fixtures(inputs.bronze(s, d)),
     "queue_seed": _seeded,
+    "bootstrap_queue": lambda s, d: Q.bootstrap(inputs.prior_queue(s, d), inputs.landed(s, d))["queue"],
     "queue_seed_offered": lambda s, d: Q.offered_pairs(Q.finished_fixtures(inputs.bronze(s, d))),
     "queue_claim": lambda s, d: Q.claim(_seeded(s, d), CLAIM_LIMIT),
     "queue_claim_pending_only": lambda s, d: Q.claim(_seeded(s, d), CLAIM_LIMIT, (S.PENDING,)),

@@ -290,6 +290,8 @@ def oracle_sql() -> dict[str, str]:
     # The streaming landing job must leave the same log and queue as the batch path.
     q["stream_tagged_payloads"] = q["tagged_payloads"]
     q["stream_queue_mark"] = q["queue_mark"]
+    # Bootstrapping from the landed payloads seeds exactly what seeding from the log does.
+    q["bootstrap_queue"] = q["queue_seed"]
     return q
 
 

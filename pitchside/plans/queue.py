@@ -25,8 +25,12 @@ _FINISHED_DDL = "response ARRAY<STRUCT<fixture: STRUCT<id: BIGINT, status: STRUC
 def finished_fixtures(raw: DataFrame) -> DataFrame:
     """Ids of finished fixtures (FT, PEN, AET) in the latest fixtures payload of each
     league-season. A payload without ``response`` contributes nothing."""
-    latest = latest_fixtures_payloads(raw).select("raw_payload")
-    fx = (latest.select(F.explode(F.from_json("raw_payload", _FINISHED_DDL)["response"]).alias("f"))
+    return finished_in_payloads(latest_fixtures_payloads(raw).select("raw_payload"))
+
+
+def finished_in_payloads(payloads: DataFrame) -> DataFrame:
+    """Finished fixture ids inside fixtures payload texts (``raw_payload``)."""
+    fx = (payloads.select(F.explode(F.from_json("raw_payload", _FINISHED_DDL)["response"]).alias("f"))
           .select(F.col("f.fixture.id").alias("fixture_id"),
                   F.col("f.fixture.status.short").alias("short")))
     return (fx.filter(F.col("short").isin(*S.FINISHED_STATUSES) & F.col("fixture_id").isNotNull())
@@ -132,6 +136,19 @@ def outcome_counts(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def bootstrap(queue: DataFrame, landed: DataFrame) -> dict[str, DataFrame]:
+    """The bootstrap run: accepted fixtures and standings payloads become bronze rows, and every
+    finished fixture of the freshest fixtures payload per league-season is seeded into the queue
+    (seeding twice changes nothing, so re-running never resets progress)."""
+    season_level = landed.filter(F.col("endpoint").isin(S.FIXTURES, S.STANDINGS))
+    appended = tag(season_level)
+    fixtures = latest_per_key(
+        appended.filter(F.col("endpoint") == S.FIXTURES)
+        .filter(F.col("league_id").isNotNull() & F.col("season").isNotNull()),
+        ["league_id", "season"], ["ingested_at"], ["raw_payload"])
+    return {"appended": appended, "queue": seed(queue, finished_in_payloads(fixtures))}
+
+
 def backfill_batch(queue: DataFrame, landed: DataFrame, limit: int | None = None,
                    dry_run: bool = False, at: Column | None = None) -> dict[str, DataFrame]:
     """One budgeted batch: claim -> fetch outcome per pair -> bronze rows to append for the good

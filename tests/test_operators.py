@@ -106,3 +106,18 @@ def test_take_ordered_and_limit_check(spark):
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a")], "k int, e string")
     assert rows(duplicate_keys(df, ["k", "e"])) == [(1, "a", 2)]
+
+
+def test_hot_key_dedupe_and_counts(spark):
+    # One key holds a third of the rows (and NULL another share): results stay exact.
+    n = 3000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 3 == 1, F.lit(None))
+         .otherwise(F.col("id")).cast("long").alias("k"),
+        F.col("id").alias("v"))
+    latest = latest_per_key(df, ["k"], ["v"])
+    got = {r.k: r.v for r in latest.collect()}
+    assert got[0] == 2997 and got[None] == 2998 and len(got) == 2 + n // 3
+    counts = partition_count(df, ["k"], "n")
+    assert {(r.k, r.n) for r in counts.filter("k = 0 OR k IS NULL").distinct().collect()} == {
+        (0, 1000), (None, 1000)}
