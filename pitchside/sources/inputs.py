@@ -9,11 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import re
+
+from pyspark.sql import functions as F
+
 from pitchside.session import ensure_utc
+from pitchside.sources import schemas as S
 from pitchside.sources import synth
-from pitchside.sources.bronze import read_raw
 from pitchside.sources.landing import audit, read_landed, tag
-from pitchside.sources.storage import materialize_once
+from pitchside.sources.storage import materialize_once, register_bucketed
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,13 +36,37 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landed(spark, path, audited=True)
 
 
+def bronze_buckets(spark: SparkSession) -> int:
+    """Bucket count of the log: the session's shuffle parallelism, so a bucket is sized like a
+    shuffle partition of the cluster that builds it."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def _bronze_rows(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
+    """Tagged rows laid out for a bucketed write: per-fixture payloads are hash-partitioned on
+    ``fixture_id`` like the buckets (one file per bucket and endpoint); season-level payloads,
+    whose ``fixture_id`` is NULL, keep their own partitioning so no task gathers them all."""
+    rows = tag(landed(spark, sf_dir))
+    per_fixture = rows.filter(F.col("fixture_id").isNotNull()).repartition(buckets, "fixture_id")
+    return per_fixture.unionByName(rows.filter(F.col("fixture_id").isNull()))
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw payload log: audited, tagged landed bodies (``RAW_API_RESPONSES`` schema)."""
+    """The raw payload log: audited, tagged landed bodies (``RAW_API_RESPONSES`` columns),
+    partitioned by endpoint and bucketed by ``fixture_id``.
+
+    Per-fixture models (latest payload per fixture, then the pivot per fixture and team) are keyed
+    on ``fixture_id``, so on the bucketed log they run without any shuffle of payload text.
+    """
     ensure_utc(spark)
     src = f"{sf_dir.rstrip('/')}/orders.parquet"
-    path = materialize_once(spark, "raw_api_responses", [src],
-                            lambda: tag(landed(spark, sf_dir)), partition_by=["endpoint"])
-    return read_raw(spark, path)
+    n = bronze_buckets(spark)
+    path = materialize_once(spark, f"raw_api_responses-b{n}", [src],
+                            lambda: _bronze_rows(spark, sf_dir, n),
+                            partition_by=["endpoint"], bucket_by=(n, "fixture_id"))
+    name = "pitchside_raw_" + re.sub(r"[^0-9a-zA-Z]+", "_", path.rsplit("/", 1)[-1])
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.RAW_API_RESPONSES)
+    return register_bucketed(spark, path, name, columns, ["endpoint"], (n, "fixture_id"))
 
 
 def prior_queue(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,8 +52,14 @@ def table_path(spark: SparkSession, name: str, inputs: Sequence[str]) -> str:
 
 def materialize_once(spark: SparkSession, name: str, inputs: Sequence[str],
                      build: Callable[[], DataFrame],
-                     partition_by: Sequence[str] = ()) -> str:
-    """Return the folder of a committed Parquet table, building it first if absent."""
+                     partition_by: Sequence[str] = (),
+                     bucket_by: tuple[int, str] | None = None) -> str:
+    """Return the folder of a committed Parquet table, building it first if absent.
+
+    ``bucket_by=(n, column)`` writes Spark buckets (hash of ``column`` mod ``n``, sorted by it),
+    so readers registered with ``register_bucketed`` get joins, windows and aggregations keyed on
+    that column without a shuffle.
+    """
     final = table_path(spark, name, inputs)
     if path_exists(spark, f"{final}/_SUCCESS"):
         return final
@@ -61,7 +67,13 @@ def materialize_once(spark: SparkSession, name: str, inputs: Sequence[str],
     writer = build().write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(attempt)
+    if bucket_by:
+        n, column = bucket_by
+        staging_name = f"pitchside_build_{uuid.uuid4().hex}"
+        writer.bucketBy(n, column).sortBy(column).option("path", attempt).saveAsTable(staging_name)
+        spark.sql(f"DROP TABLE IF EXISTS {staging_name}")   # external: the files stay
+    else:
+        writer.parquet(attempt)
     src, fs = _fs_path(spark, attempt)
     dst, _ = _fs_path(spark, final)
     if not fs.exists(dst):
@@ -71,3 +83,18 @@ def materialize_once(spark: SparkSession, name: str, inputs: Sequence[str],
     # Another builder committed first: use theirs, drop ours.
     fs.delete(src, True)
     return final
+
+
+def register_bucketed(spark: SparkSession, path: str, name: str, columns: str,
+                      partition_by: Sequence[str], bucket_by: tuple[int, str]) -> DataFrame:
+    """Register a committed bucketed folder as a catalog table (metadata only) and return it.
+    Bucketing lives in the catalog, not in the files, so each session registers the folder once."""
+    if not spark.catalog.tableExists(name):
+        n, column = bucket_by
+        parts = f"PARTITIONED BY ({', '.join(partition_by)}) " if partition_by else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {parts}"
+                  f"CLUSTERED BY ({column}) SORTED BY ({column}) INTO {n} BUCKETS "
+                  f"LOCATION '{path}'")
+        if partition_by:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return spark.table(name)
