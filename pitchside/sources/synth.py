@@ -39,14 +39,6 @@ from pitchside.sources import schemas as S
 
 JSON_OPTS = {"ignoreNullFields": "false"}
 
-def _num(c: Column) -> Column:
-    return F.parse_json(c.cast("string"))
-
-
-def _str(c: Column) -> Column:
-    return F.parse_json(F.concat(F.lit('"'), c, F.lit('"')))
-
-
 def fixture_facts(orders: DataFrame) -> DataFrame:
     """One row per order with the flat fixture attributes."""
     key = F.col("o_orderkey")
@@ -186,11 +178,6 @@ def standings_payloads(facts: DataFrame) -> DataFrame:
                                  _envelope("standings", params, resp)))
 
 
-def _empty_like(arr: Column) -> Column:
-    """An empty array of ``arr``'s element type."""
-    return F.slice(arr, 1, 0)
-
-
 def _sides() -> list[tuple[Column, int]]:
     return [(F.col("t_0"), 0), (F.col("t_1"), 1)]
 
@@ -242,61 +229,67 @@ def _statistics_body(key: Column, stale: Column) -> Column:
         F.lit(',"response":['), response, F.lit("]}"))
 
 
-def _player_entry(key: Column, t: Column, base: Column, n: Column, stale: Column) -> Column:
-    """One player of team ``t`` (``n`` in 1..11). Leaf j is (key + 3t + 5n + j) % 9, computed as
-    (base + 5n + j) % 9 with base = (key % 9 + 3t) % 9, all INT arithmetic."""
-    groups = []
+def _player_text(key: Column, t: Column, base: Column, n: Column, stale: Column) -> Column:
+    """One player entry of team ``t`` (``n`` in 1..11) as JSON text. Leaf j of the generic rule is
+    (key + 3t + 5n + j) % 9, computed as (base + 5n + j) % 9 with base = (key % 9 + 3t) % 9."""
+    def quoted(c: Column) -> Column:
+        return F.concat(F.lit('"'), c, F.lit('"'))
+
+    special = {
+        ("games", "minutes"): F.when(n <= 9, F.when(stale, F.lit("99"))
+                                     .otherwise((F.lit(90) - n).cast("string"))).otherwise("null"),
+        ("games", "position"): quoted(F.when(n == 1, "G").when(n <= 5, "D").when(n <= 9, "M")
+                                      .otherwise("F")),
+        ("games", "rating"): quoted(F.concat((F.lit(5) + n % 5).cast("string"), F.lit("."),
+                                             F.col("r10"))),
+        ("games", "captain"): F.when(n == 1, "true").otherwise("false"),
+        ("games", "substitute"): F.when(n > 8, "true").otherwise("false"),
+        ("passes", "accuracy"): (F.when(stale, F.lit("99"))
+                                 .when(n % 4 == 0, quoted(F.concat((F.lit(60) + n).cast("string"),
+                                                                   F.lit("%"))))
+                                 .otherwise((F.lit(60) + n).cast("string"))),
+    }
+    parts: list[Column] = [F.lit('{"player":{"id":'), (t * 100 + n).cast("string"),
+                           F.lit(',"name":"Player '), (t * 100 + n).cast("string"),
+                           F.lit('"},"statistics":[')]
+    stat: list[Column] = []
     j = 0
-    for group, leaves in S.PLAYER_STAT_GROUPS:
-        fields = []
-        for leaf in (leaves or ("",)):
-            if (group, leaf) == ("games", "minutes"):
-                v = F.when(n <= 9, F.when(stale, F.lit(99)).otherwise(F.lit(90) - n))
-            elif (group, leaf) == ("games", "position"):
-                v = F.when(n == 1, "G").when(n <= 5, "D").when(n <= 9, "M").otherwise("F")
-            elif (group, leaf) == ("games", "rating"):
-                v = F.concat((F.lit(5) + n % 5).cast("string"), F.lit("."), F.col("r10"))
-            elif (group, leaf) == ("games", "captain"):
-                v = n == 1
-            elif (group, leaf) == ("games", "substitute"):
-                v = n > 8
-            elif (group, leaf) == ("passes", "accuracy"):
-                v = (F.when(stale, F.parse_json(F.lit("99")))
-                     .when(n % 4 == 0, _str(F.concat((F.lit(60) + n).cast("string"), F.lit("%"))))
-                     .otherwise(_num(F.lit(60) + n)))
+    for gi, (group, leaves) in enumerate(S.PLAYER_STAT_GROUPS):
+        stat.append(F.lit(("," if gi else "{") + f'"{group}":' + ("{" if leaves else "")))
+        for li, leaf in enumerate(leaves or ("",)):
+            if (group, leaf) in special:
+                v = special[(group, leaf)]
             else:
                 j += 1
                 raw = (base + n * 5 + j) % 9
-                v = F.when(stale, F.lit(99)).when(raw != 0, raw)
-            fields.append((leaf, v))
+                v = F.when(stale, F.lit("99")).when(raw != 0, raw.cast("string")).otherwise("null")
+            if leaves:
+                stat.append(F.lit(("," if li else "") + f'"{leaf}":'))
+            stat.append(v)
         if leaves:
-            groups.append(F.struct(*[v.alias(leaf) for leaf, v in fields]).alias(group))
-        else:
-            groups.append(fields[0][1].alias(group))
-    pid = t * 100 + n
-    stats = F.array(F.struct(*groups))
-    stats = F.when((n == 11) & (key % 7 == 0), _empty_like(stats)).otherwise(stats)
-    return F.struct(
-        F.struct(pid.alias("id"), F.concat(F.lit("Player "), pid.cast("string")).alias("name")
-                 ).alias("player"),
-        stats.alias("statistics"))
+            stat.append(F.lit("}"))
+    stat.append(F.lit("}"))
+    entry = F.when((n == 11) & (key % 7 == 0), F.lit("")).otherwise(F.concat(*stat))
+    return F.concat(*parts, entry, F.lit("]}"))
 
 
-def _players_response(key: Column, stale: Column) -> Column:
-    """Sides unrolled; the 11 players are one ``transform`` over 1..11 (a single player
-    expression, which keeps the generated code small)."""
+def _players_body(key: Column, stale: Column) -> Column:
+    """The players envelope as text: sides unrolled, the 11 players one ``transform`` over 1..11
+    joined with commas; no players for the away side when key % 13 = 0."""
     blocks = []
     for t, side in _sides():
         base = F.col(f"pb_{side}")
-        players = F.transform(F.sequence(F.lit(1), F.lit(11)),
-                              lambda n: _player_entry(key, t, base, n, stale))
+        players = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(11)),
+                                           lambda n: _player_text(key, t, base, n, stale)), ",")
         if side == 1:
-            players = F.when(key % 13 == 0, _empty_like(players)).otherwise(players)
-        blocks.append(F.struct(
-            F.struct(t.alias("id"), F.concat(F.lit("Team "), t.cast("string")).alias("name")
-                     ).alias("team"),
-            players.alias("players")))
-    return F.array(*blocks)
+            players = F.when(key % 13 == 0, F.lit("")).otherwise(players)
+        blocks.append(F.concat(
+            F.lit('{"team":{"id":'), t.cast("string"), F.lit(',"name":"Team '), t.cast("string"),
+            F.lit('"},"players":['), players, F.lit("]}")))
+    return F.concat(
+        F.lit('{"get":"fixtures/players","parameters":{"fixture":'), key.cast("string"),
+        F.lit('},"errors":[],"results":2,"response":['), blocks[0], F.lit(","), blocks[1],
+        F.lit("]}"))
 
 
 def _lineups_response() -> Column:
@@ -323,8 +316,7 @@ def detail_payloads(facts: DataFrame) -> DataFrame:
     builders = (
         (S.STATISTICS, True, lambda st: _statistics_body(key, st)),
         (S.LINEUPS, False, lambda st: _envelope("fixtures/lineups", params, _lineups_response())),
-        (S.PLAYERS, True, lambda st: _envelope("fixtures/players", params,
-                                               _players_response(key, st))),
+        (S.PLAYERS, True, lambda st: _players_body(key, st)),
     )
     parts = []
     for endpoint, has_stale, build in builders:
