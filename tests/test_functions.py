@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from pitchside.functions import (match_points, match_result, payload_error_text, payload_is_ok,
                                  payload_result_count, percent_fraction, try_cast_as)
