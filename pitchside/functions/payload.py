@@ -48,6 +48,19 @@ def envelope_result_count(env: Column) -> Column:
     return env["results"].try_cast("int")
 
 
+def payload_text(payload: Column, is_text: bool = True) -> Column:
+    """The body as stored in the log: text stays untouched; a body already parsed into a struct
+    or map (e.g. read with a JSON reader) is serialised back with ``to_json``."""
+    return payload if is_text else F.to_json(payload, {"ignoreNullFields": "false"})
+
+
+def endpoint_path(endpoint: str | Column) -> Column:
+    """Queue endpoint name -> API path (NULL for names outside the map)."""
+    from pitchside.sources.schemas import ENDPOINT_PATHS
+    pairs = [F.lit(x) for kv in ENDPOINT_PATHS.items() for x in kv]
+    return F.create_map(*pairs)[_col(endpoint)]
+
+
 def payload_is_ok(payload: str | Column) -> Column:
     return envelope_is_ok(payload_envelope(payload))
 

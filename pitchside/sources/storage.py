@@ -24,14 +24,14 @@ BUILD_VERSION = 9
 BUILD_SCOPE = ""
 
 
-def _fs_path(spark: SparkSession, path: str):
+def fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs_path(spark, path)
+    p, fs = fs_path(spark, path)
     return bool(fs.exists(p))
 
 
@@ -74,8 +74,8 @@ def materialize_once(spark: SparkSession, name: str, inputs: Sequence[str],
         spark.sql(f"DROP TABLE IF EXISTS {staging_name}")   # external: the files stay
     else:
         writer.parquet(attempt)
-    src, fs = _fs_path(spark, attempt)
-    dst, _ = _fs_path(spark, final)
+    src, fs = fs_path(spark, attempt)
+    dst, _ = fs_path(spark, final)
     if not fs.exists(dst):
         fs.mkdirs(dst.getParent())
         if fs.rename(src, dst):

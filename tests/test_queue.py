@@ -89,3 +89,26 @@ def test_backfill_batch_outcomes(spark):
     assert rows(batch["queue"], "fixture_id", "endpoint") == [
         (1, "players", "failed", 1, AT), (1, "statistics", "done", 1, AT),
         (2, "statistics", "failed", 2, AT), (3, "statistics", "pending", 0, None)]
+
+
+def test_versioned_queue_store_round_trip(spark, tmp_path):
+    from pitchside.sources.queue_store import read_queue, write_queue
+    root = str(tmp_path / "queue")
+    assert read_queue(spark, root).count() == 0
+    v1 = write_queue(Q.seed(read_queue(spark, root), _ids(spark, [1, 2])), root)
+    assert v1.endswith("version=0000000001")
+    outcomes = spark.createDataFrame([(1, "players", "done", AT)],
+                                     "fixture_id long, endpoint string, status string, at timestamp")
+    v2 = write_queue(Q.mark(read_queue(spark, root), outcomes), root)   # reads v1, writes v2
+    assert v2.endswith("version=0000000002")
+    current = read_queue(spark, root)
+    assert current.count() == 6
+    assert rows(current.filter("status = 'done'")) == [(1, "players", "done", 1, AT)]
+
+
+def test_endpoint_path_and_payload_text(spark):
+    from pitchside.functions.payload import endpoint_path, payload_text
+    df = spark.createDataFrame([("players",), ("fixtures",)], "e string")
+    assert [r[0] for r in df.select(endpoint_path("e")).collect()] == ["fixtures/players", None]
+    s = spark.createDataFrame([(1, None)], "a int, b string").select(F.struct("a", "b").alias("p"))
+    assert s.select(payload_text(F.col("p"), is_text=False)).collect()[0][0] == '{"a":1,"b":null}'
