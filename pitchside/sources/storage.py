@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitchside.session import checkpoint_root
 
 # Bump when a builder's output changes, so stale copies are not reused.
-BUILD_VERSION = 9
+BUILD_VERSION = 10
 
 # Extra path component; a benchmark sets a fresh one to time a cold build.
 BUILD_SCOPE = ""

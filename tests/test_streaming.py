@@ -5,7 +5,7 @@ import tempfile
 from pitchside.sources.bronze import read_raw
 from pitchside.sources.schemas import LANDED
 from pitchside.streaming import queue_from_outcome_log, run_landing_stream
-from pitchside.streaming.landing_stream import read_outcome_log
+from pitchside.streaming.landing_stream import read_outcome_log, write_micro_batch
 from pitchside.plans.queue import mark
 from tests.conftest import rows
 
@@ -40,3 +40,13 @@ def test_stream_drains_in_budgeted_batches_and_replays_nothing(spark):
         "fixture_id", "endpoint", "CASE WHEN fixture_id % 3 = 0 THEN 'failed' ELSE 'done' END AS status",
         "fetched_at AS at")
     assert rows(state) == rows(mark(seeded, batch_outcomes))
+
+
+def test_replayed_micro_batch_is_written_once(spark):
+    root = tempfile.mkdtemp(prefix="pitchside-replay-")
+    batch = spark.createDataFrame(
+        [("statistics", 1, None, None, T0, OK), ("players", 2, None, None, T0, BAD)], LANDED)
+    for epoch in (0, 1, 1):          # epoch 1 is replayed after a failure
+        write_micro_batch(batch, epoch, f"{root}/raw", f"{root}/outcomes")
+    assert read_raw(spark, f"{root}/raw").count() == 2          # one good row per epoch
+    assert read_outcome_log(spark, f"{root}/outcomes").count() == 4
