@@ -17,7 +17,12 @@ from pitchside.session import ensure_utc
 from pitchside.sources import schemas as S
 from pitchside.sources import synth
 from pitchside.sources.landing import audit, read_landed, tag
-from pitchside.sources.storage import materialize_once, register_bucketed
+from pitchside.sources.storage import (materialize_once, path_size, register_bucketed,
+                                       table_path)
+
+# Target bytes of one bucket of the log: a bucketed scan reads each bucket in one task, so the
+# bucket count follows the data volume (a fixed value of our sizing policy).
+TARGET_BUCKET_BYTES = 256 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,10 +41,14 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landed(spark, path, audited=True)
 
 
-def bronze_buckets(spark: SparkSession) -> int:
-    """Bucket count of the log: the session's shuffle parallelism, so a bucket is sized like a
-    shuffle partition of the cluster that builds it."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+def bronze_buckets(spark: SparkSession, log_bytes: int) -> int:
+    """Bucket count of the log: enough buckets that one holds about ``TARGET_BUCKET_BYTES`` (a
+    bucket is one scan task), at least the session's shuffle parallelism, at most Spark's bucket
+    limit."""
+    by_size = -(-log_bytes // TARGET_BUCKET_BYTES)
+    parallelism = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    cap = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return max(1, min(cap, max(parallelism, by_size)))
 
 
 def _bronze_rows(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
@@ -60,7 +69,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ensure_utc(spark)
     src = f"{sf_dir.rstrip('/')}/orders.parquet"
-    n = bronze_buckets(spark)
+    landed(spark, sf_dir)
+    n = bronze_buckets(spark, path_size(spark, table_path(spark, "landed", [src])))
     path = materialize_once(spark, f"raw_api_responses-b{n}", [src],
                             lambda: _bronze_rows(spark, sf_dir, n),
                             partition_by=["endpoint"], bucket_by=(n, "fixture_id"))

@@ -35,6 +35,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def path_size(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path`` (0 when absent)."""
+    p, fs = fs_path(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def _input_tag(inputs: Sequence[str]) -> str:
     h = hashlib.sha1()
     for path in inputs:

@@ -30,3 +30,11 @@ def test_materialize_once_builds_once_and_bucketed_reads_skip_the_shuffle(spark,
     assert "Exchange" not in plan
     assert sorted(tuple(r) for r in agg.collect()) == sorted(
         (k, sum(i for i in range(0, 200, 2) if i % 7 == k)) for k in range(7))
+
+
+def test_bucket_count_follows_data_volume(spark):
+    from pitchside.sources.inputs import TARGET_BUCKET_BYTES, bronze_buckets
+    parallelism = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert bronze_buckets(spark, 0) == parallelism
+    assert bronze_buckets(spark, 1000 * TARGET_BUCKET_BYTES) == 1000
+    assert bronze_buckets(spark, 10 ** 15) == 100000          # 1 PB hits Spark's bucket cap
