@@ -56,3 +56,15 @@ def test_layer_routing():
     assert schema_name(None, "dev") == "dev"
     assert schema_name("  silver ", "dev") == "silver"
     assert qualified("gold", "profile", "wc") == "wc.gold.profile"
+
+
+def test_landed_files_in_api_path_layout(spark):
+    root = tempfile.mkdtemp(prefix="pitchside-api-")
+    for rel in ["fixtures/statistics/fixture=7.json", "fixtures/players/fixture=7.json",
+                "fixtures/league=3_season=2021.json"]:
+        os.makedirs(os.path.join(root, os.path.dirname(rel)), exist_ok=True)
+        with open(os.path.join(root, rel), "w") as f:
+            f.write(OK)
+    landed = read_landed_files(spark, root)
+    assert rows(landed.select("endpoint", "fixture_id", "league_id", "season"), "endpoint") == [
+        ("fixtures", None, 3, 2021), ("players", 7, None, None), ("statistics", 7, None, None)]
