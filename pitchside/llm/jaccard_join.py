@@ -37,6 +37,8 @@ NUM, DEN = 90, 100
 ORDER_ENTRIES = 1 << 19
 #: A shingle enters that table's count from a run of texts when it is in so many of them.
 LOCAL_MIN = 4
+#: Bits of the filter that picks documents to be hashed again (2 MB as bits, 4 MB as sent).
+FILTER_BITS = 1 << 24
 #: Boundaries weighed for light sets: below 10, 20, 30 elements 0, 1, 2 elements can differ.
 BOUNDARIES = (9, 19, 29)
 
@@ -78,24 +80,6 @@ def bitmap(s: np.ndarray) -> tuple[int, int]:
     return int(lo), int(hi)
 
 
-def digests(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, d1, d2): size and 128-bit digest of each document's shingle set."""
-    schema = "doc_id long, n_shingles long, d1 long, d2 long"
-
-    def run(batches):
-        for batch, first, sets in _sets(batches, size):
-            d1 = [int(mix(s).sum(dtype=U).view(np.int64)) if len(s) else 0 for s in sets]
-            d2 = [int(mix(s ^ U(0xD6E8FEB86659FD93)).sum(dtype=U).view(np.int64)) if len(s) else 0
-                  for s in sets]
-            yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id").slice(first, len(sets)),
-                 "n_shingles": pa.array(map(len, sets), pa.int64()), "d1": d1, "d2": d2},
-                schema=pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()),
-                                  ("d1", pa.int64()), ("d2", pa.int64())]))
-
-    return docs.mapInArrow(run, schema)
-
-
 def choose_boundary(sizes: dict[int, int], num: int = NUM, den: int = DEN) -> int:
     """The boundary with the fewest postings: subsets of light sets plus prefix elements of the
     others (and of light sets near the boundary, which can link across it)."""
@@ -120,62 +104,55 @@ def _subsets(s: np.ndarray, drop: int) -> np.ndarray:
     return total - m[i] - m[j]
 
 
-def postings(reps: DataFrame, frequent: np.ndarray, boundary: int, size: int,
-             num: int = NUM, den: int = DEN) -> DataFrame:
-    """(key, kind, rep, n, pos, b1, b2): one row per subset of a light set (kind = subset size) or
-    prefix element of a heavy one (kind 0)."""
-    spark = reps.sparkSession
-    order = spark.sparkContext.broadcast(frequent)
-    names = ["key", "kind", "rep", "n", "pos", "b1", "b2"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-    schema = pa.schema(list(zip(names, types)))
+def signatures(docs: DataFrame, frequent: np.ndarray, boundary: int, size: int,
+               num: int = NUM, den: int = DEN) -> DataFrame:
+    """One row per document: doc_id, n_shingles, 128-bit digest (d1, d2) of its set, parity bitmap
+    (b1, b2), and its list keys: ``heavy`` prefix elements in order and ``light`` subset hashes."""
+    order = docs.sparkSession.sparkContext.broadcast(frequent)
+    names = ["doc_id", "n_shingles", "d1", "d2", "b1", "b2"]
+    schema = pa.schema([(c, pa.int64()) for c in names]
+                       + [(c, pa.list_(pa.int64())) for c in ("heavy", "light")])
 
-    def run(batches):
+    def keys(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hot, count = order.value
-        for batch, first, sets in _sets(batches, size):
-            ids = batch.column("rep").to_pylist()[first:first + len(sets)]
-            cols: list[list[np.ndarray]] = [[] for _ in names]
-
-            def add(key, kind, rep, n, pos, bits):
-                k = len(key)
-                for c, v in zip(cols, (key.view(np.int64), np.full(k, kind), np.full(k, rep),
-                                       np.full(k, n), pos, np.full(k, bits[0]),
-                                       np.full(k, bits[1]))):
-                    c.append(v)
-
-            for rep, s in zip(ids, sets):
-                n = len(s)
-                if not n:
-                    continue
-                bits = bitmap(s)
-                may_differ = n * (den - num) // den
-                if n <= boundary:
-                    for j in range(may_differ + 1):
-                        key = distinct(_subsets(s, j))
-                        add(key, n - j, rep, n, np.zeros(len(key), dtype=np.int32), bits)
-                if n * den >= (boundary + 1) * num:
-                    at = np.searchsorted(hot, s)
-                    at[at == len(hot)] = 0
-                    freq = np.where(hot[at] == s, count[at], 0) if len(hot) else np.zeros(n)
-                    pick = np.argsort(freq, kind="stable")[:may_differ + 1]
-                    add(s[pick], 0, rep, n, np.arange(len(pick), dtype=np.int32), bits)
-            if cols[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c), type=t, safe=False) for c, t in zip(cols, types)],
-                    schema=schema)
+        n, heavy, light = len(s), s[:0], s[:0]
+        may_differ = n * (den - num) // den
+        if 0 < n <= boundary:
+            light = np.concatenate([distinct(mix(_subsets(s, j) ^ U(n - j)))
+                                    for j in range(may_differ + 1)])
+        if n * den >= (boundary + 1) * num:
+            at = np.searchsorted(hot, s)
+            at[at == len(hot)] = 0
+            freq = np.where(hot[at] == s, count[at], 0) if len(hot) else np.zeros(n)
+            heavy = s[np.argsort(freq, kind="stable")[:may_differ + 1]]
+        return heavy.view(np.int64), light.view(np.int64)
 
-    return reps.select("rep", "text").mapInArrow(
-        run, "key long, kind int, rep long, n int, pos int, b1 long, b2 long")
-
-
-def _possible(x: str, y: str, num: int = NUM, den: int = DEN):
-    """Whether two postings of one list can belong to linked sets: bounds by size, by position and
-    by parity bitmap. ``den * i >= num * (a + b - i)`` means ``i >= num * (a + b) / (num + den)``."""
-    a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
+    def run(batches):
+        for batch, first, sets in _sets(batches, size):
+            found = [keys(s) for s in sets]
+            bits = [bitmap(s) for s in sets]
+            d1 = [int(mix(s).sum(dtype=U).view(np.int64)) for s in sets]
+            d2 = [int(mix(s ^ U(0xD6E8FEB86659FD93)).sum(dtype=U).view(np.int64)) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(first, len(sets)),
+                 pa.array(map(len, sets), pa.int64()), pa.array(d1, pa.int64()),
+                 pa.array(d2, pa.int64()), pa.array([b[0] for b in bits], pa.int64()),
+                 pa.array([b[1] for b in bits], pa.int64()),
+                 pa.array([f[0] for f in found], pa.list_(pa.int64())),
+                 pa.array([f[1] for f in found], pa.list_(pa.int64()))], schema=schema)
+
+    return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names)
+                           + ", heavy array<long>, light array<long>")
+
+
+def _possible(num: int = NUM, den: int = DEN):
+    """Whether two postings p, q of one list can belong to linked sets: bounds by size, by position
+    and by parity bitmap. ``den * i >= num * (a + b - i)`` is ``i >= num * (a + b) / (num + den)``."""
+    a, b = F.col("p.n"), F.col("q.n")
     need = (a + b) * F.lit(num)
-    rest = F.least(a - F.col(f"{x}.pos"), b - F.col(f"{y}.pos"))
-    differ = (F.bit_count(F.col(f"{x}.b1").bitwiseXOR(F.col(f"{y}.b1")))
-              + F.bit_count(F.col(f"{x}.b2").bitwiseXOR(F.col(f"{y}.b2"))))
+    rest = F.least(a - F.col("p.pos"), b - F.col("q.pos"))
+    differ = (F.bit_count(F.col("p.b1").bitwiseXOR(F.col("q.b1")))
+              + F.bit_count(F.col("p.b2").bitwiseXOR(F.col("q.b2"))))
     return ((F.least(a, b) * den >= F.greatest(a, b) * num)
             & (rest * (num + den) >= need)
             & ((a + b - differ) * (num + den) >= need * 2))
@@ -200,17 +177,38 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN)
     return both.mapInArrow(linked, "a long, b long")
 
 
-def element_sets(reps: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(rep, elements): the packed sorted hashes of the representatives in ``wanted``."""
+def id_filter(ids: DataFrame, column: str) -> np.ndarray:
+    """A one-hash bit filter of FILTER_BITS bits over the ids: what it lets through may be wanted,
+    the rest is not. Its size is fixed, so it can be sent to every task; when ids fill it up it
+    only stops saving work."""
+    bit = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    words = (ids.select(bit.alias("bit")).groupBy((F.col("bit") / 32).cast("int").alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit % 32 AS INT))")).alias("v")).toArrow())
+    out = np.zeros(FILTER_BITS // 32, dtype=np.int64)
+    out[words["w"].to_numpy()] = words["v"].to_numpy()
+    return out
+
+
+def element_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(rep, elements): the packed sorted hashes of the wanted representatives' sets. Documents are
+    read where they lie; those that the filter excludes are not hashed again, and no text moves."""
+    bits = docs.sparkSession.sparkContext.broadcast(id_filter(wanted, "rep"))
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("bit")
+
     def run(batches):
-        for batch, first, sets in _sets(batches, size):
-            yield pa.RecordBatch.from_pydict(
-                {"rep": batch.column("rep").slice(first, len(sets)),
-                 "elements": pa.array([s.tobytes() for s in sets], pa.binary())},
-                schema=pa.schema([("rep", pa.int64()), ("elements", pa.binary())]))
+        for batch in batches:
+            bit = batch.column("bit").to_numpy()
+            pick = np.flatnonzero((bits.value[bit // 32] >> (bit % 32)) & 1)
+            some = batch.select(["doc_id", "text"]).take(pa.array(pick, pa.int64()))
+            for part, first, sets in _sets(iter([some]), size):
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").slice(first, len(sets)),
+                     pa.array([s.tobytes() for s in sets], pa.binary())],
+                    schema=pa.schema([("rep", pa.int64()), ("elements", pa.binary())]))
 
-    some = reps.select("rep", "text").join(wanted, "rep", "left_semi")
-    return some.mapInArrow(run, "rep long, elements binary")
+    rows = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", h)
+    found = rows.mapInArrow(run, "rep long, elements binary")
+    return found.join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -224,56 +222,65 @@ def link_classes(docs: DataFrame, size: int = 3, num: int = NUM, den: int = DEN
     classes (node, component) of the representatives that link to another one.
 
     ``rep`` is the smallest doc_id with the same set, null for empty sets and null doc_ids (these
-    link with nothing).
+    link with nothing). A doc_id on several rows with different texts is one vertex.
     """
     docs = ids_and_text(docs)
-    digest = stored(digests(docs, size), "jaccard-digest")
-    full = digest.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    rep = full.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"))
-    members = digest.join(rep, ["n_shingles", "d1", "d2"], "left").select(
+    frequent = frequent_shingles(docs, size)
+    boundary = choose_boundary(small_sizes(docs, size, num, den), num, den)
+    every = stored(signatures(docs, frequent, boundary, size, num, den), "jaccard-signatures")
+    same_set = ["n_shingles", "d1", "d2"]
+    rep = (every.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same_set)
+           .agg(F.min("doc_id").alias("rep")))
+    members = every.select("doc_id", *same_set).join(rep, same_set, "left").select(
         "doc_id", "n_shingles",
         F.expr("CASE WHEN doc_id IS NOT NULL AND n_shingles > 0 THEN rep END").alias("rep"))
-    sizes = {r[0]: r[1] for r in rep.filter(F.col("n_shingles") <= max(BOUNDARIES) * den // num + 1)
-             .groupBy("n_shingles").count().collect()}       # at most a few dozen sizes
-    boundary = choose_boundary(sizes, num, den)
-    frequent = frequent_shingles(docs, size)
-    one_text = docs.join(rep.select("rep"), docs["doc_id"] == rep["rep"], "left_semi").select(
-        F.col("doc_id").alias("rep"), "text").dropDuplicates(["rep"]) if _repeated_ids(docs) else (
-        docs.join(rep.select("rep"), docs["doc_id"] == rep["rep"], "left_semi")
-        .select(F.col("doc_id").alias("rep"), "text"))
-    posts = postings(one_text, frequent, boundary, size, num, den)
-    in_list = Window.partitionBy("key", "kind").orderBy("n", "rep")
-    lists = stored(posts.withColumn("next", F.lead(F.struct("rep", "n", "pos", "b1", "b2"))
-                                    .over(in_list))
-                   .withColumn("before", F.lag("rep").over(in_list))
-                   .filter("next IS NOT NULL OR before IS NOT NULL").drop("before"),
-                   "jaccard-lists")
-    chain = lists.filter("next IS NOT NULL").select(F.struct("rep", "n", "pos", "b1", "b2")
-                                                    .alias("p"), F.col("next").alias("q"))
-    first = stored(_pairs(chain.filter(_possible("p", "q", num, den))), "jaccard-chain")
-    wanted = lists.select("rep").distinct()
-    sets = stored(element_sets(one_text, wanted, size), "jaccard-sets")
+    # Only representatives post: the copies of a set, however many, stay one row.
+    one = (every.join(rep.select("rep", *same_set), same_set)
+           .filter("doc_id = rep").dropDuplicates(["rep", *same_set])
+           .select("rep", F.col("n_shingles").cast("int").alias("n"), "b1", "b2", "heavy", "light"))
+    one = stored(one, "jaccard-reps")
+    posts = (one.select("rep", "n", F.posexplode("heavy").alias("pos", "key"))
+             .union(one.select("rep", "n", F.lit(0).alias("pos"), F.explode("light").alias("key"))))
+    in_list = Window.partitionBy("key").orderBy("n", "rep")
+    shared = (posts.withColumn("next", F.lead("rep").over(in_list))
+              .withColumn("before", F.lag("rep").over(in_list))
+              .filter("next IS NOT NULL OR before IS NOT NULL").drop("next", "before"))
+    # Bitmaps join once the keys of a single set are gone.
+    bits = one.select("rep", "n", "b1", "b2")
+    lists = stored(shared.join(bits, ["rep", "n"]), "jaccard-lists")
+    me = F.struct("rep", "n", "pos", "b1", "b2")
+    chain = lists.select(me.alias("p"), F.lead(me).over(in_list).alias("q"))
+    first = stored(_pairs(chain.filter(F.col("q").isNotNull()).filter(_possible(num, den))),
+                   "jaccard-chain")
+    sets = stored(element_sets(docs, _ends(first), size), "jaccard-sets")
     links = stored(verified(first, sets, num, den), "jaccard-links")
     label = components(links)
-    named = lists.drop("next").join(label, lists["rep"] == label["node"], "left").select(
-        "key", "kind", "rep", "n", "pos", "b1", "b2",
-        F.coalesce("component", "rep").alias("label"))
+    named = lists.join(label, lists["rep"] == label["node"], "left").select(
+        "key", "rep", "n", "pos", "b1", "b2", F.coalesce("component", "rep").alias("label"))
     # Lists that hold one component are settled; the others compare across components only.
-    mixed = (named.groupBy("key", "kind")
-             .agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi"))
-    open_lists = stored(named.join(mixed.select("key", "kind"), ["key", "kind"]), "jaccard-open")
-    p, q = open_lists.alias("p"), open_lists.alias("q")
-    across = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.kind") == F.col("q.kind"))
-                    & (F.col("p.label") < F.col("q.label")) & _possible("p", "q", num, den))
+    mixed = (named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+             .filter("lo < hi").select("key"))
+    open_lists = stored(named.join(mixed, "key"), "jaccard-open")
+    across = open_lists.alias("p").join(
+        open_lists.alias("q"), (F.col("p.key") == F.col("q.key"))
+        & (F.col("p.label") < F.col("q.label")) & _possible(num, den))
     second = stored(_pairs(across).join(first, ["a", "b"], "left_anti"), "jaccard-across")
-    more = stored(verified(second, sets, num, den), "jaccard-links")
+    more_sets = stored(element_sets(docs, _ends(second), size), "jaccard-sets")
+    more = stored(verified(second, more_sets, num, den), "jaccard-links")
     return members, components(links.union(more))
 
 
-def _repeated_ids(docs: DataFrame) -> bool:
-    """Whether some doc_id stands on two rows (then one row of it is read per representative)."""
-    n = docs.select("doc_id").agg(F.count("doc_id"), F.countDistinct("doc_id")).first()
-    return n[0] != n[1]
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+
+
+def small_sizes(docs: DataFrame, size: int, num: int = NUM, den: int = DEN) -> dict[int, int]:
+    """How many documents have so many words, for the few sizes that the boundary depends on."""
+    words = F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
+    n = F.when(words > 0, F.greatest(words - (size - 1), F.lit(1))).otherwise(0).alias("n")
+    top = max(BOUNDARIES) * den // num + 1
+    near = docs.select(n).filter(F.col("n") <= top)
+    return {r[0]: r[1] for r in near.groupBy("n").count().collect()}
 
 
 def jaccard_classes(docs: DataFrame, size: int = 3) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pitchside.llm.embedding_tiles import op6_embedding_tiles
 from pitchside.llm.jaccard_join import op10_jaccard_join
+from pitchside.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
+    "op6_embedding_tiles": op6_embedding_tiles,
     "op10_jaccard_join": op10_jaccard_join,
 }
 

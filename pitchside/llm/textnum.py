@@ -85,12 +85,12 @@ def distinct(h: np.ndarray) -> np.ndarray:
 class Words:
     """The words of a run of texts: ``hash`` (unmixed), byte ``start`` / ``end`` in ``buf`` (the
     lower-cased texts, a blank after each), and ``bounds``: text i has words
-    ``bounds[i]:bounds[i + 1]``."""
+    ``bounds[i]:bounds[i + 1]``. ``gaps`` marks the bytes that separate words."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], gaps: np.ndarray = _SPACE):
         raw = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
         self.buf = _LOWER[raw]
-        gap = _SPACE[self.buf]
+        gap = gaps[self.buf]
         edge = np.flatnonzero(np.diff(np.concatenate(([True], gap)).view(np.int8)))
         self.start, self.end = edge[0::2], edge[1::2]
         lens = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
