@@ -20,6 +20,7 @@ and parity-bitmap bounds discard pairs that cannot link; all three are upper bou
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from math import comb
 
@@ -39,6 +40,8 @@ ORDER_ENTRIES = 1 << 19
 LOCAL_MIN = 4
 #: Bits of the filter that picks documents to be hashed again (2 MB as bits, 4 MB as sent).
 FILTER_BITS = 1 << 24
+#: Bits of the bitmap that bounds how far two candidates differ before their texts are compared.
+WIDE_BITS = 4096
 #: Boundaries weighed for light sets: below 10, 20, 30 elements 0, 1, 2 elements can differ.
 BOUNDARIES = (9, 19, 29)
 
@@ -158,21 +161,47 @@ def _possible(num: int = NUM, den: int = DEN):
             & ((a + b - differ) * (num + den) >= need * 2))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """The pairs (a, b) whose sets link, by exact intersection. ``sets``: (rep, elements)."""
-    left = pairs.join(sets.select(F.col("rep").alias("a"), F.col("elements").alias("x")), "a")
-    both = left.join(sets.select(F.col("rep").alias("b"), F.col("elements").alias("y")), "b")
+def bounded(pairs: DataFrame, sketches: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """The pairs that can still link by wide parity bitmaps: the sets differ in at least as many
+    elements as their bitmaps do in bits. ``sketches``: (rep, n, wide)."""
+    both = (pairs.join(sketches.select(F.col("rep").alias("a"), F.col("n").alias("na"),
+                                       F.col("wide").alias("x")), "a")
+            .join(sketches.select(F.col("rep").alias("b"), F.col("n").alias("nb"),
+                                  F.col("wide").alias("y")), "b"))
+
+    def possible(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=U)
+                    .reshape(len(batch), -1) for c in ("x", "y"))
+            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            keep = (total - differ) * (num + den) >= 2 * num * total
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return both.mapInArrow(possible, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, size: int, num: int = NUM, den: int = DEN
+             ) -> DataFrame:
+    """The pairs (a, b) whose sets link, by exact intersection. ``texts``: (rep, packed text)."""
+    left = pairs.join(texts.select(F.col("rep").alias("a"), F.col("packed").alias("x")), "a")
+    both = left.join(texts.select(F.col("rep").alias("b"), F.col("packed").alias("y")), "b")
 
     def linked(batches):
+        np.seterr(over="ignore")
         for batch in batches:
+            sides = []
+            for c in ("x", "y"):
+                unpacked = (zlib.decompress(v.as_buffer()).decode("utf-8", "surrogatepass")
+                            for v in batch.column(c))
+                sides.append(s for _, run in chunks(unpacked) for s in shingle_sets(Words(run),
+                                                                                   size))
             keep = []
-            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
-                s, t = (np.frombuffer(v.as_buffer(), dtype=U) for v in (x, y))
+            for s, t in zip(*sides):
                 u = np.sort(np.concatenate((s, t)))
                 common = int((u[1:] == u[:-1]).sum())
-                if den * common >= num * (len(s) + len(t) - common):
-                    keep.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+                keep.append(den * common >= num * (len(s) + len(t) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(linked, "a long, b long")
 
@@ -189,26 +218,55 @@ def id_filter(ids: DataFrame, column: str) -> np.ndarray:
     return out
 
 
-def element_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(rep, elements): the packed sorted hashes of the wanted representatives' sets. Documents are
-    read where they lie; those that the filter excludes are not hashed again, and no text moves."""
+def picked(docs: DataFrame, wanted: DataFrame, make, schema: str, fields: pa.Schema) -> DataFrame:
+    """``make(ids, texts)`` of the wanted documents. They are read where they lie: documents that
+    the filter excludes are passed over, and no unwanted text moves. The filter may let others
+    through; the joins that follow drop them."""
     bits = docs.sparkSession.sparkContext.broadcast(id_filter(wanted, "rep"))
     h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("bit")
 
     def run(batches):
         for batch in batches:
             bit = batch.column("bit").to_numpy()
-            pick = np.flatnonzero((bits.value[bit // 32] >> (bit % 32)) & 1)
-            some = batch.select(["doc_id", "text"]).take(pa.array(pick, pa.int64()))
-            for part, first, sets in _sets(iter([some]), size):
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").slice(first, len(sets)),
-                     pa.array([s.tobytes() for s in sets], pa.binary())],
-                    schema=pa.schema([("rep", pa.int64()), ("elements", pa.binary())]))
+            some = batch.take(pa.array(np.flatnonzero((bits.value[bit // 32] >> (bit % 32)) & 1)))
+            for columns in make(some):
+                yield pa.RecordBatch.from_arrays(columns, schema=fields)
+
+    return (docs.filter("doc_id IS NOT NULL").select("doc_id", "text", h)
+            .mapInArrow(run, schema))
+
+
+def packed_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rep, packed): compressed whole texts, about a third of the bytes of their hashed sets."""
+    def make(some):
+        yield [some.column("doc_id"),
+               pa.array([zlib.compress(t.as_py().encode("utf-8", "surrogatepass"), 1)
+                         for t in some.column("text")], pa.binary())]
+
+    return picked(docs, wanted, make, "rep long, packed binary",
+                  pa.schema([("rep", pa.int64()), ("packed", pa.binary())]))
+
+
+def wide_sketches(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(rep, n, wide): set size and parity bitmap of WIDE_BITS bits."""
+    def make(some):
+        for part, first, sets in _sets(iter([some]), size):
+            wide = [np.packbits((np.bincount((s % U(WIDE_BITS)).astype(np.int64),
+                                             minlength=WIDE_BITS) & 1).astype(np.uint8)).tobytes()
+                    for s in sets]
+            yield [part.column("doc_id").slice(first, len(sets)),
+                   pa.array(map(len, sets), pa.int64()), pa.array(wide, pa.binary())]
+
+    return picked(docs, wanted, make, "rep long, n long, wide binary",
+                  pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("wide", pa.binary())]))
+
 
-    rows = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", h)
-    found = rows.mapInArrow(run, "rep long, elements binary")
-    return found.join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
+def confirm(docs: DataFrame, pairs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """Candidate pairs down to links: first by wide bitmaps, then by exact intersection."""
+    sketches = stored(wide_sketches(docs, _ends(pairs), size), "jaccard-sketches")
+    near = stored(bounded(pairs, sketches, num, den), "jaccard-near")
+    texts = stored(packed_texts(docs, _ends(near)), "jaccard-texts")
+    return stored(verified(near, texts, size, num, den), "jaccard-links")
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -252,8 +310,7 @@ def link_classes(docs: DataFrame, size: int = 3, num: int = NUM, den: int = DEN
     chain = lists.select(me.alias("p"), F.lead(me).over(in_list).alias("q"))
     first = stored(_pairs(chain.filter(F.col("q").isNotNull()).filter(_possible(num, den))),
                    "jaccard-chain")
-    sets = stored(element_sets(docs, _ends(first), size), "jaccard-sets")
-    links = stored(verified(first, sets, num, den), "jaccard-links")
+    links = confirm(docs, first, size, num, den)
     label = components(links)
     named = lists.join(label, lists["rep"] == label["node"], "left").select(
         "key", "rep", "n", "pos", "b1", "b2", F.coalesce("component", "rep").alias("label"))
@@ -265,8 +322,7 @@ def link_classes(docs: DataFrame, size: int = 3, num: int = NUM, den: int = DEN
         open_lists.alias("q"), (F.col("p.key") == F.col("q.key"))
         & (F.col("p.label") < F.col("q.label")) & _possible(num, den))
     second = stored(_pairs(across).join(first, ["a", "b"], "left_anti"), "jaccard-across")
-    more_sets = stored(element_sets(docs, _ends(second), size), "jaccard-sets")
-    more = stored(verified(second, more_sets, num, den), "jaccard-links")
+    more = confirm(docs, second, size, num, den)
     return members, components(links.union(more))
 
 
