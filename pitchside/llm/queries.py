@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 from pitchside.llm.embedding_tiles import op6_embedding_tiles
+from pitchside.llm.gru_lm import op8_gru_lm
 from pitchside.llm.jaccard_join import op10_jaccard_join
+from pitchside.llm.piece_viterbi import op4_piece_viterbi
+from pitchside.llm.repeat_removal import op5_repeat_removal
+from pitchside.llm.token_store import op9_token_store
 from pitchside.llm.toxicity import op3_toxicity
 
 QUERIES = {
     "op3_toxicity": op3_toxicity,
+    "op4_piece_viterbi": op4_piece_viterbi,
+    "op5_repeat_removal": op5_repeat_removal,
     "op6_embedding_tiles": op6_embedding_tiles,
+    "op8_gru_lm": op8_gru_lm,
+    "op9_token_store": op9_token_store,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
