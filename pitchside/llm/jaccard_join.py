@@ -11,9 +11,9 @@ copies are never expanded; what follows runs on class representatives.
   and any order gives the same links, so the bound costs time only.
 * The **boundary** is the cheapest one by the posting counts that the size histogram implies.
 
-Pairs of a list are never all emitted. A list first links neighbours in size order; after those links
-are verified and joined to components, only pairs of one list that lie in *different* components are
-compared. A pair in one component needs no comparison for the components' sake; every pair that can
+Pairs of a list are never all emitted. Lists first link neighbours, in size order and then in other
+orders, and verified links are joined to components after each round; in the end only pairs of one
+list that lie in *different* components are compared. A pair in one component needs no comparison for the components' sake; every pair that can
 merge two components is verified exactly, so no class boundary depends on the shortcut. Size, position
 and parity-bitmap bounds discard pairs that cannot link; all three are upper bounds, never estimates.
 """
@@ -42,6 +42,11 @@ LOCAL_MIN = 4
 FILTER_BITS = 1 << 24
 #: Bits of the bitmap that bounds how far two candidates differ before their texts are compared.
 WIDE_BITS = 4096
+#: 64-bit words of the parity bitmap that travels with list entries.
+BIT_WORDS = 8
+BITS = [f"b{j}" for j in range(BIT_WORDS)]
+#: Rounds in which lists link neighbours before components are compared in full.
+CHAIN_ROUNDS = 3
 #: Boundaries weighed for light sets: below 10, 20, 30 elements 0, 1, 2 elements can differ.
 BOUNDARIES = (9, 19, 29)
 
@@ -75,12 +80,11 @@ def frequent_shingles(docs: DataFrame, size: int) -> np.ndarray:
     return np.stack([h[order], top["n"].to_numpy(dtype=np.int64)[order].view(U)])
 
 
-def bitmap(s: np.ndarray) -> tuple[int, int]:
-    """Two words of parity bits: bit i is the parity of the elements that hash to i. The bits in
+def bitmap(s: np.ndarray, bits: int) -> np.ndarray:
+    """Parity bits as 64-bit words: bit i is the parity of the elements that hash to i. The bits in
     which two bitmaps differ number at most the elements in which the sets differ."""
-    bits = (np.bincount((s >> U(57)).astype(np.int64), minlength=128) & 1).astype(np.uint8)
-    lo, hi = np.packbits(bits).view(np.int64)
-    return int(lo), int(hi)
+    odd = (np.bincount((s % U(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
 
 
 def choose_boundary(sizes: dict[int, int], num: int = NUM, den: int = DEN) -> int:
@@ -110,9 +114,9 @@ def _subsets(s: np.ndarray, drop: int) -> np.ndarray:
 def signatures(docs: DataFrame, frequent: np.ndarray, boundary: int, size: int,
                num: int = NUM, den: int = DEN) -> DataFrame:
     """One row per document: doc_id, n_shingles, 128-bit digest (d1, d2) of its set, parity bitmap
-    (b1, b2), and its list keys: ``heavy`` prefix elements in order and ``light`` subset hashes."""
+    (``BITS``), and its list keys: ``heavy`` prefix elements in order and ``light`` subset hashes."""
     order = docs.sparkSession.sparkContext.broadcast(frequent)
-    names = ["doc_id", "n_shingles", "d1", "d2", "b1", "b2"]
+    names = ["doc_id", "n_shingles", "d1", "d2", *BITS]
     schema = pa.schema([(c, pa.int64()) for c in names]
                        + [(c, pa.list_(pa.int64())) for c in ("heavy", "light")])
 
@@ -133,14 +137,13 @@ def signatures(docs: DataFrame, frequent: np.ndarray, boundary: int, size: int,
     def run(batches):
         for batch, first, sets in _sets(batches, size):
             found = [keys(s) for s in sets]
-            bits = [bitmap(s) for s in sets]
+            bits = np.array([bitmap(s, 64 * BIT_WORDS) for s in sets]).reshape(-1, BIT_WORDS)
             d1 = [int(mix(s).sum(dtype=U).view(np.int64)) for s in sets]
             d2 = [int(mix(s ^ U(0xD6E8FEB86659FD93)).sum(dtype=U).view(np.int64)) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(first, len(sets)),
                  pa.array(map(len, sets), pa.int64()), pa.array(d1, pa.int64()),
-                 pa.array(d2, pa.int64()), pa.array([b[0] for b in bits], pa.int64()),
-                 pa.array([b[1] for b in bits], pa.int64()),
+                 pa.array(d2, pa.int64()), *(pa.array(np.ascontiguousarray(b)) for b in bits.T),
                  pa.array([f[0] for f in found], pa.list_(pa.int64())),
                  pa.array([f[1] for f in found], pa.list_(pa.int64()))], schema=schema)
 
@@ -154,8 +157,7 @@ def _possible(num: int = NUM, den: int = DEN):
     a, b = F.col("p.n"), F.col("q.n")
     need = (a + b) * F.lit(num)
     rest = F.least(a - F.col("p.pos"), b - F.col("q.pos"))
-    differ = (F.bit_count(F.col("p.b1").bitwiseXOR(F.col("q.b1")))
-              + F.bit_count(F.col("p.b2").bitwiseXOR(F.col("q.b2"))))
+    differ = sum((F.bit_count(F.col(f"p.{b}").bitwiseXOR(F.col(f"q.{b}"))) for b in BITS), F.lit(0))
     return ((F.least(a, b) * den >= F.greatest(a, b) * num)
             & (rest * (num + den) >= need)
             & ((a + b - differ) * (num + den) >= need * 2))
@@ -251,9 +253,7 @@ def wide_sketches(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(rep, n, wide): set size and parity bitmap of WIDE_BITS bits."""
     def make(some):
         for part, first, sets in _sets(iter([some]), size):
-            wide = [np.packbits((np.bincount((s % U(WIDE_BITS)).astype(np.int64),
-                                             minlength=WIDE_BITS) & 1).astype(np.uint8)).tobytes()
-                    for s in sets]
+            wide = [bitmap(s, WIDE_BITS).tobytes() for s in sets]
             yield [part.column("doc_id").slice(first, len(sets)),
                    pa.array(map(len, sets), pa.int64()), pa.array(wide, pa.binary())]
 
@@ -261,9 +261,9 @@ def wide_sketches(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                   pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("wide", pa.binary())]))
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+def confirm(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, size: int, num: int,
+            den: int) -> DataFrame:
     """Candidate pairs down to links: first by wide bitmaps, then by exact intersection."""
-    sketches = stored(wide_sketches(docs, _ends(pairs), size), "jaccard-sketches")
     near = stored(bounded(pairs, sketches, num, den), "jaccard-near")
     texts = stored(packed_texts(docs, _ends(near)), "jaccard-texts")
     return stored(verified(near, texts, size, num, den), "jaccard-links")
@@ -295,7 +295,7 @@ def link_classes(docs: DataFrame, size: int = 3, num: int = NUM, den: int = DEN
     # Only representatives post: the copies of a set, however many, stay one row.
     one = (every.join(rep.select("rep", *same_set), same_set)
            .filter("doc_id = rep").dropDuplicates(["rep", *same_set])
-           .select("rep", F.col("n_shingles").cast("int").alias("n"), "b1", "b2", "heavy", "light"))
+           .select("rep", F.col("n_shingles").cast("int").alias("n"), *BITS, "heavy", "light"))
     one = stored(one, "jaccard-reps")
     posts = (one.select("rep", "n", F.posexplode("heavy").alias("pos", "key"))
              .union(one.select("rep", "n", F.lit(0).alias("pos"), F.explode("light").alias("key"))))
@@ -304,26 +304,45 @@ def link_classes(docs: DataFrame, size: int = 3, num: int = NUM, den: int = DEN
               .withColumn("before", F.lag("rep").over(in_list))
               .filter("next IS NOT NULL OR before IS NOT NULL").drop("next", "before"))
     # Bitmaps join once the keys of a single set are gone.
-    bits = one.select("rep", "n", "b1", "b2")
-    lists = stored(shared.join(bits, ["rep", "n"]), "jaccard-lists")
-    me = F.struct("rep", "n", "pos", "b1", "b2")
-    chain = lists.select(me.alias("p"), F.lead(me).over(in_list).alias("q"))
-    first = stored(_pairs(chain.filter(F.col("q").isNotNull()).filter(_possible(num, den))),
-                   "jaccard-chain")
-    links = confirm(docs, first, size, num, den)
-    label = components(links)
-    named = lists.join(label, lists["rep"] == label["node"], "left").select(
-        "key", "rep", "n", "pos", "b1", "b2", F.coalesce("component", "rep").alias("label"))
-    # Lists that hold one component are settled; the others compare across components only.
+    lists = stored(shared.join(one.select("rep", "n", *BITS), ["rep", "n"]), "jaccard-lists")
+    sketches = stored(wide_sketches(docs, lists.select("rep").distinct(), size),
+                      "jaccard-sketches")
+    tried = links = label = None
+    for r in range(CHAIN_ROUNDS):
+        opened = lists if r == 0 else _open(lists, label)
+        pairs = _pairs(_chained(opened, r).filter(_possible(num, den)))
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "jaccard-pairs")
+        found = confirm(docs, pairs, sketches, size, num, den)
+        tried = pairs if tried is None else tried.union(pairs)
+        links = found if links is None else links.union(found)
+        label = components(links)
+    # What lists still hold of several components is compared across them in full.
+    opened = stored(_open(lists, label), "jaccard-open")
+    across = opened.alias("p").join(
+        opened.alias("q"), (F.col("p.key") == F.col("q.key"))
+        & (F.col("p.label") < F.col("q.label")) & _possible(num, den))
+    pairs = stored(_pairs(across).join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+    return members, components(links.union(confirm(docs, pairs, sketches, size, num, den)))
+
+
+def _open(lists: DataFrame, label: DataFrame) -> DataFrame:
+    """The lists that hold several components, with each entry's component as ``label``."""
+    named = (lists.join(label, lists["rep"] == label["node"], "left").drop("node")
+             .withColumn("label", F.coalesce("component", "rep")).drop("component"))
     mixed = (named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
              .filter("lo < hi").select("key"))
-    open_lists = stored(named.join(mixed, "key"), "jaccard-open")
-    across = open_lists.alias("p").join(
-        open_lists.alias("q"), (F.col("p.key") == F.col("q.key"))
-        & (F.col("p.label") < F.col("q.label")) & _possible(num, den))
-    second = stored(_pairs(across).join(first, ["a", "b"], "left_anti"), "jaccard-across")
-    more = confirm(docs, second, size, num, den)
-    return members, components(links.union(more))
+    return named.join(mixed, "key")
+
+
+def _chained(lists: DataFrame, r: int) -> DataFrame:
+    """Neighbours (p, q) of each list: in size order first, then in other orders, and then only
+    neighbours of different components."""
+    order = ["n", "rep"] if r == 0 else [F.xxhash64(F.lit(r), "rep")]
+    me = F.struct(*[c for c in ("rep", "n", "pos", "label", *BITS) if c in lists.columns])
+    both = lists.select(me.alias("p"), F.lead(me).over(
+        Window.partitionBy("key").orderBy(*order)).alias("q")).filter("q IS NOT NULL")
+    return both if r == 0 else both.filter("p.label <> q.label")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:

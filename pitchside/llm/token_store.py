@@ -14,6 +14,7 @@ store that Spark reads.
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 import zlib
@@ -33,7 +34,7 @@ END_ID = 0
 #: Ids of a block (a longer document stands alone in its block, whole).
 BLOCK_IDS = 1 << 20
 #: Word pieces whose ids a task remembers; when it is full it starts afresh.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 600_000
 
 
 def min_bits(vocabulary: int) -> int:
@@ -97,44 +98,67 @@ def _class(*kinds: str) -> str:
 _PLAIN = [9, 10, 13, *range(32, 127), *range(0xA1, 0xAD), *range(0xAE, 0x220)]
 _PLAIN_TEXT = re.compile("[" + "".join(re.escape(chr(c)) for c in _PLAIN) + "]*")
 _L, _N = _class("L"), _class("N")
-_WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\t\n\r {_L}{_N}]+"
+# Alternatives that start alike keep the pattern's order; the most frequent comes first.
+_WORD = re.compile(rf" ?[{_L}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_N}]+| ?[^\t\n\r {_L}{_N}]+"
                    r"|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others, in order, for the
+    characters from U+0100 on."""
+    own = [*range(33, 127), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+class _Memo(dict):
+    """Word piece -> its number; new pieces are listed in ``fresh``."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        self.fresh.append(piece)
+        return n
+
+
 class Encoder:
     """``tokenizers`` with a memory of word pieces: merges never cross the pieces that the
-    byte-level pattern cuts, so the ids of a text are those of its pieces in order. Texts outside
-    the plain range, or with a special token's text, are encoded whole by the library."""
+    byte-level pattern cuts, so the ids of a text are those of its pieces in order, and the
+    library's model merges each distinct piece once. Texts outside the plain range, or with a
+    special token's text, are encoded whole by the library."""
 
     def __init__(self, tokenizer: str):
         self.lib = Tokenizer.from_str(tokenizer)
+        self.merge = self.lib.model.tokenize
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.memo = _Memo()
         self.at = np.zeros(1, dtype=np.int64)
         self.ids = np.empty(0, dtype=np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
-        words, odd, fresh = {}, [], {}
-        if len(self.index) > MEMO_WORDS:
+        words, odd = {}, []
+        if len(self.memo) > MEMO_WORDS:
             self._clear()
-        index = self.index
+        number = self.memo.__getitem__
         for i, t in enumerate(texts):
             if _PLAIN_TEXT.fullmatch(t) and not any(s in t for s in self.special):
                 pieces = _WORD.findall(t)
-                for w in set(pieces):
-                    if w not in index:
-                        index[w] = len(index)
-                        fresh[w] = None
-                words[i] = np.fromiter(map(index.__getitem__, pieces), dtype=np.int64,
-                                       count=len(pieces))
+                words[i] = np.fromiter(map(number, pieces), dtype=np.int64, count=len(pieces))
             else:
                 odd.append(i)
-        if fresh:
-            found = [e.ids for e in self.lib.encode_batch(list(fresh), add_special_tokens=False)]
+        if self.memo.fresh:
+            found = [[x.id for x in self.merge(
+                p.encode().decode("latin-1").translate(_LETTERS))] for p in self.memo.fresh]
+            self.memo.fresh.clear()
             n = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             self.at = np.concatenate((self.at, self.at[-1] + np.cumsum(n)))
             self.ids = np.concatenate((self.ids, np.fromiter((x for f in found for x in f),
@@ -150,6 +174,12 @@ class Encoder:
         return out
 
 
+@functools.cache
+def _encoder(tokenizer: str) -> Encoder:
+    """One encoder per worker process: what it remembers serves the tasks that follow."""
+    return Encoder(tokenizer)
+
+
 def _blocks(rows: Iterator[tuple[int, np.ndarray]], bits: int):
     docs, ids, size = [], [], 0
     for doc, x in rows:
@@ -178,7 +208,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID)
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        encoder = Encoder(model.value)
+        encoder = _encoder(model.value)
 
         def encoded():
             end = np.array([end_id], dtype=np.uint32)
