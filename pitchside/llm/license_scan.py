@@ -5,7 +5,8 @@ years do not matter. Every template's 3-word grams are winnowed (the least hash
 neighbours stays) into an index gram -> (template, position). All grams of a whole document look
 themselves up; hits of one template near one diagonal make a candidate, which a Smith-Waterman
 alignment restricted to a band around that diagonal turns into the matched template words and their
-span in the document. Spans that cover at least ``COVERAGE`` of a template are reported.
+span in the document. Spans that cover at least ``COVERAGE`` of a template are reported; where spans
+overlap, the one with the most matched words.
 
 Templates are a parameter; their number and size bound the index that every task receives.
 """
@@ -149,22 +150,27 @@ def scan_run(texts: list[bytes], index: Index):
             continue                        # a gram across two texts
         for template, p in index.places[int(terms.gram[g])]:
             near[text, template].append(g - int(terms.bounds[text]) - p)
+    spans: dict[int, list[tuple]] = defaultdict(list)
     for (text, template), shifts in sorted(near.items()):
         a, b = int(terms.bounds[text]), int(terms.bounds[text + 1])
         words = index.words[template]
-        done = None
+        free = 0                            # document words before it belong to a reported span
         for shift in sorted(set(shifts)):
-            if done is not None and shift - done <= BAND:
-                continue                    # the band around the last diagonal holds it
-            done = shift
-            lo = max(0, shift - BAND)
+            lo = max(free, shift - BAND)
             hi = min(b - a, shift + len(words) + BAND)
+            if shift + len(words) <= free or lo >= hi:
+                continue
             found = align(terms.label[a + lo:a + hi], words, shift - lo)
             if found and found[0] >= COVERAGE * len(words):
-                base = int(terms.text_start[text])
-                yield (text, template, found[0], found[0] / len(words),
-                       int(terms.start[a + lo + found[1]]) - base,
-                       int(terms.end[a + lo + found[2]]) - base)
+                spans[text].append((-found[0], template, lo + found[1], lo + found[2]))
+                free = lo + found[2] + 1
+    for text, found in sorted(spans.items()):
+        a, base, kept = int(terms.bounds[text]), int(terms.text_start[text]), []
+        for less, template, first, last in sorted(found):
+            if all(last < f or first > x for f, x in kept):     # the longest match of a place
+                kept.append((first, last))
+                yield (text, template, -less, -less / len(index.words[template]),
+                       int(terms.start[a + first]) - base, int(terms.end[a + last]) - base)
 
 
 def license_spans(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:

@@ -10,8 +10,8 @@ of suffixes that agree to a depth, and the interleave of the shards is kept as t
 run lengths, never as a list of all suffixes. It is refined from depth 0 to 128 bytes and then to the
 whole context of an anchor (its positions' strings together); a block with one member left is a
 suffix whose common prefix with every other ends there, and is dropped. Blocks that stay whole are
-repeated intervals. Where a block splits inside a context, the positions concerned, and only they,
-are refined one by one to depth 400.
+repeated intervals. Where a block splits inside a context, its positions are refined in steps of
+eight and then, at the ends of the repeated intervals only, one by one, to depth 400.
 
 Labels are 64-bit hashes of the compared bytes, paired with the label of the level above.
 """
@@ -33,6 +33,8 @@ from pitchside.llm.textnum import U, chunks, mix, prefix_sums, span_hash
 LENGTH = 400
 GRAM, RATE, DEPTH = 32, 48, 128
 REACH = LENGTH - DEPTH
+#: Positions of a context that are labelled together before any is labelled alone.
+STEP = 8
 RUN_BYTES = 2 << 20
 
 SCAN = [("lo", pa.int32()), ("hi", pa.int32()), ("at", pa.int32()), ("block", pa.int64()),
@@ -147,33 +149,80 @@ def _packed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.select("i", "k", "text", bit).mapInArrow(run, "i long, k long, packed binary")
 
 
-def single_positions(docs: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(label, block, p, i, k, once): one row per position of each given context, labelled by its
-    400-byte string. ``contexts``: (i, k, lo, hi, block, once)."""
-    per_doc = contexts.groupBy("i", "k").agg(F.collect_list(F.struct("lo", "hi", "block", "once"))
-                                             .alias("rows"))   # at most one per byte of the text
-    texts = _packed(docs, contexts.select("i", "k")).dropDuplicates(["i", "k"])
-    fields = pa.schema([("label", pa.int64()), ("block", pa.int64()), ("p", pa.int32()),
-                        ("i", pa.int64()), ("k", pa.int64()), ("once", pa.bool_())])
+def _per_text(texts: DataFrame, rows: DataFrame, columns: list[str], label, out: str) -> DataFrame:
+    """``label(prefix sums, {column: values})`` of the rows (i, k, columns) of each text."""
+    per_doc = rows.groupBy("i", "k").agg(F.collect_list(F.struct(*columns)).alias("rows"))
 
     def run(batches):
         np.seterr(over="ignore")
         for batch in batches:
-            for i, k, packed, rows in zip(*(batch.column(c) for c in ("i", "k", "packed", "rows"))):
+            for packed, rows in zip(batch.column("packed"), batch.column("rows")):
                 s = prefix_sums(np.frombuffer(zlib.decompress(packed.as_buffer()), dtype=np.uint8))
-                lo, hi, block, once = (rows.values.field(j).to_numpy(zero_copy_only=False)
-                                       for j in range(4))
-                n = hi - lo + 1
-                p = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-                label = mix(span_hash(s, p, p + LENGTH)).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(label), pa.array(np.repeat(block, n)), pa.array(p, pa.int32()),
-                     pa.array(np.full(len(p), i.as_py()), pa.int64()),
-                     pa.array(np.full(len(p), k.as_py()), pa.int64()),
-                     pa.array(np.repeat(once, n).astype(bool))], schema=fields)
-
-    return texts.join(per_doc, ["i", "k"]).mapInArrow(
-        run, "label long, block long, p int, i long, k long, once boolean")
+                yield pa.RecordBatch.from_pydict(label(s, {
+                    c: rows.values.field(j).to_numpy(zero_copy_only=False)
+                    for j, c in enumerate(columns)}))
+
+    return texts.join(per_doc, ["i", "k"]).mapInArrow(run, out)
+
+
+def _step_labels(s: np.ndarray, x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Every STEP positions of a context, counted back from its anchor: ``core`` labels what all
+    their strings have in common, ``union`` what they cover together."""
+    at, lo, hi = (x[c].astype(np.int64) for c in ("at", "lo", "hi"))
+    low, high = (at - hi) // STEP, (at - lo) // STEP
+    n = high - low + 1
+    row = np.repeat(np.arange(len(at)), n)
+    m = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[row]
+    a, b = np.maximum(lo[row], at[row] - m * STEP - STEP + 1), np.minimum(hi[row],
+                                                                           at[row] - m * STEP)
+    core = at[row] - m * STEP
+    return {"core": (mix(span_hash(s, core, core + LENGTH - STEP + 1)) + m.astype(U)).view(np.int64),
+            "union": mix(mix(span_hash(s, a, b + LENGTH))
+                         ^ ((at[row] - a) * 1024 + (b - a)).astype(U)).view(np.int64),
+            "a": a.astype(np.int32), "b": b.astype(np.int32),
+            "once": x["once"].astype(bool)[row], "i": x["i"][row], "k": x["k"][row]}
+
+
+def _position_labels(s: np.ndarray, x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    a, b = x["a"].astype(np.int64), x["b"].astype(np.int64)
+    n = b - a + 1
+    row = np.repeat(np.arange(len(a)), n)
+    p = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + a[row]
+    return {"label": mix(span_hash(s, p, p + LENGTH)).view(np.int64), "p": p.astype(np.int32),
+            "open": x["open"].astype(bool)[row], "i": x["i"][row], "k": x["k"][row]}
+
+
+def split_spans(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(i, k, start, end): repeated strings inside contexts that stand only once, while their block
+    has other contexts. ``contexts``: (i, k, lo, hi, at, once), one row per distinct context.
+
+    Steps of a context go first: a step whose core stands once holds no repeat, one whose union
+    stands again is all repeats. Only the steps in between, at the ends of repeated intervals, are
+    looked at position by position."""
+    texts = stored(_packed(docs, contexts.select("i", "k")).dropDuplicates(["i", "k"]),
+                   "repeat-texts")
+    steps = stored(_per_text(
+        texts, contexts, ["lo", "hi", "at", "once", "i", "k"], _step_labels,
+        "core long, union long, a int, b int, once boolean, i long, k long"), "repeat-steps")
+    again = steps.groupBy("core", "union").agg(
+        F.count("*").alias("n"), F.bool_or("once").alias("once"),
+        F.min(F.struct("i", "k", "a", "b")).alias("one"))
+    again = stored(again, "repeat-unions")
+    whole = steps.filter("once").join(again.filter("n > 1").select("core", "union"),
+                                      ["core", "union"]).select("i", "k", "a", "b")
+    mixed = again.groupBy("core").agg(F.count("*").alias("unions"), F.bool_or(
+        F.col("once") & (F.col("n") == 1)).alias("open")).filter("unions > 1 AND open")
+    part = stored(again.join(mixed.select("core"), "core").select(
+        "one.*", (F.col("once") & (F.col("n") == 1)).alias("open")), "repeat-open")
+    positions = stored(_per_text(texts, part, ["a", "b", "open", "i", "k"], _position_labels,
+                                 "label long, p int, open boolean, i long, k long"),
+                       "repeat-positions")
+    # Every union has one row here: a label on two rows stands in two different unions.
+    twice = positions.groupBy("label").count().filter("count > 1").select("label")
+    single = positions.filter("open").join(twice, "label").select("i", "k", F.col("p").alias("a"),
+                                                                  F.col("p").alias("b"))
+    return whole.union(single).select("i", "k", F.col("a").alias("start"),
+                                      (F.col("b") + LENGTH).alias("end"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -184,24 +233,21 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     repeated = stored(blocks.filter("count > 1").select("block"), "repeat-blocks")
     anchors = stored(shared_anchors(scanned, repeated), "repeat-anchors")
     contexts = stored(anchors.groupBy("block", "context").agg(
-        F.count("*").alias("n"), F.min(F.struct("i", "k", "lo", "hi")).alias("one")),
+        F.count("*").alias("n"), F.min(F.struct("i", "k", "lo", "hi", "at")).alias("one")),
         "repeat-contexts")
     whole = anchors.join(contexts.filter("n > 1").select("block", "context"),
                          ["block", "context"]).select("i", "k", F.col("lo").alias("start"),
                                                       (F.col("hi") + LENGTH).alias("end"))
-    split = contexts.groupBy("block").count().filter("count > 1").select("block")
+    split = (contexts.groupBy("block").agg(F.count("*").alias("c"), F.min("n").alias("least"))
+             .filter("c > 1 AND least = 1").select("block"))
     part = stored(contexts.join(split, "block").select(
-        "one.*", "block", (F.col("n") == 1).alias("once")), "repeat-split")
-    positions = stored(single_positions(docs, part), "repeat-positions")
-    again = positions.groupBy("label", "block").count().filter("count > 1").drop("count")
-    # Every context has one row here: a label on two rows stands in two different contexts.
-    single = positions.filter("once").join(again, ["label", "block"]).select("i", "k", "p")
+        "one.*", (F.col("n") == 1).alias("once")), "repeat-split")
     bare = scanned.filter("size(bare) > 0").select("i", "k",
                                                    F.inline(F.arrays_zip("bare", "label")))
     bare_again = bare.groupBy("label").count().filter("count > 1").select("label")
-    single = single.union(bare.join(bare_again, "label").select("i", "k", "bare"))
-    spans = whole.union(single.select("i", "k", F.col("p").alias("start"),
-                                      (F.col("p") + LENGTH).alias("end"))).distinct()
+    bare = bare.join(bare_again, "label").select("i", "k", F.col("bare").alias("start"),
+                                                 (F.col("bare") + LENGTH).alias("end"))
+    spans = whole.union(split_spans(docs, part)).union(bare).distinct()
     return spans.groupBy("i", "k").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
