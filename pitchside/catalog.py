@@ -22,7 +22,7 @@ from pitchside.sources import inputs
 from pitchside.sources.bronze import read_raw
 from pitchside.sources import schemas as S
 from pitchside.sources.landing import audit, audit_summary, quarantine
-from pitchside.sources.storage import table_path
+from pitchside.sources.storage import built_path, table_path
 from pitchside.streaming.landing_stream import (queue_from_outcome_log, read_outcome_log,
                                                 run_landing_stream)
 
@@ -32,6 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 BATCH_RUN_AT = "2002-01-01 00:00:00"
 CLAIM_LIMIT = 30
 TOP_OPEN_ORDERS = 20
+# Bytes of one micro-batch: the number of batches follows the data, not the number of files.
+STREAM_BYTES_PER_TRIGGER = str(1 << 30)
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,10 +81,10 @@ def _streamed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     returns (bronze log, outcome log). Re-running is a no-op: the stream checkpoint remembers
     which files were processed."""
     inputs.landed(spark, sf_dir)
-    source = table_path(spark, "landed", [f"{sf_dir.rstrip('/')}/orders.parquet"])
+    source = built_path(spark, "landed", [f"{sf_dir.rstrip('/')}/orders.parquet"])
     root = table_path(spark, "landing-stream", [f"{sf_dir.rstrip('/')}/orders.parquet"])
     run_landing_stream(spark, source, f"{root}/raw", f"{root}/outcomes", f"{root}/_checkpoint",
-                       max_files_per_trigger=4, schema=S.LANDED_AUDITED)
+                       schema=S.LANDED_AUDITED, max_bytes_per_trigger=STREAM_BYTES_PER_TRIGGER)
     return read_raw(spark, f"{root}/raw"), read_outcome_log(spark, f"{root}/outcomes")
 
 
@@ -141,7 +143,8 @@ QUERIES: dict[str, Query] = {
     "queue_requeue": _requeue,
     "queue_outcomes": lambda s, d: _batch(s, d)["counts"],
     "queue_after_backfill": lambda s, d: _batch(s, d)["queue"],
-    "queue_duplicate_keys": lambda s, d: duplicate_keys(
+    "queue_duplicate_keys": lambda s, d: duplicate_keys(_marked(s, d), Q.KEYS, "n_rows"),
+    "log_repeated_pairs": lambda s, d: duplicate_keys(
         inputs.bronze(s, d).filter(F.col("endpoint").isin(*S.CHECKPOINT_ENDPOINTS)),
         Q.KEYS, "n_payloads"),
     # landing and audit

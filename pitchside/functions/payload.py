@@ -4,10 +4,10 @@ A payload is bad when its ``errors`` member is truthy: the API reports failures
 populated ``errors`` object, and ``[]`` on success. Text that is not a JSON object cannot be read as
 an envelope at all and is bad too.
 
-One ``from_json`` pass reads the whole envelope check: ``errors`` and ``results`` as text (objects
-and arrays come back as their JSON text, JSON null as NULL) and the malformed-record column, which
-is set for text that is not a JSON object. Known gaps against a strict JSON reader: trailing text
-after the object is ignored, and a JSON *string* ``"0"`` counts as falsy like the number 0.
+One ``from_json`` pass reads the whole envelope check: ``errors`` as a VARIANT, which keeps its JSON
+type (the string ``"false"`` is an error text, the literal ``false`` is not), ``results`` as text, and
+the malformed-record column, which is set for text that is not a JSON object. Text after a complete
+object is ignored.
 """
 
 from __future__ import annotations
@@ -15,11 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text forms of the falsy JSON values an ``errors`` member can hold (fixed values).
-FALSY_ERROR_TEXTS = ("[]", "{}", "", "false")
-
 _CORRUPT = "_corrupt_record"
-ENVELOPE_DDL = f"errors STRING, results STRING, {_CORRUPT} STRING"
+ENVELOPE_DDL = f"errors VARIANT, results STRING, {_CORRUPT} STRING"
 
 
 def _col(c: str | Column) -> Column:
@@ -33,15 +30,19 @@ def payload_envelope(payload: str | Column) -> Column:
 
 def envelope_is_ok(env: Column) -> Column:
     """TRUE iff the envelope is a JSON object whose ``errors`` member is absent or falsy."""
-    errors = env["errors"]
+    kind, text = F.schema_of_variant(env["errors"]), envelope_error_text(env)
     is_object = env.isNotNull() & env[_CORRUPT].isNull()
-    falsy = (errors.isNull() | errors.isin(*FALSY_ERROR_TEXTS)
-             | (errors.try_cast("double") == F.lit(0.0)))
+    falsy = (env["errors"].isNull() | (kind == "VOID") | text.isNull()
+             | ((kind == "STRING") & (text == ""))
+             | ((kind == "BOOLEAN") & (text == "false"))
+             | (kind.startswith("ARRAY") & (text == "[]"))
+             | (kind.startswith("OBJECT") & (text == "{}"))
+             | ((kind != "STRING") & (text.try_cast("double") == F.lit(0.0))))
     return F.coalesce(is_object & falsy, F.lit(False))
 
 
 def envelope_error_text(env: Column) -> Column:
-    return env["errors"]
+    return env["errors"].cast("string")
 
 
 def envelope_result_count(env: Column) -> Column:

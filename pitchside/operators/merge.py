@@ -36,9 +36,11 @@ def upsert_counted(target: DataFrame, outcomes: DataFrame, keys: Sequence[str],
     Outcomes are first reduced per key (``n`` attempts, the status of the latest attempt, the latest
     time), which is what applying them one by one would leave. Then one full outer join:
     matched -> status replaced, count + n, time = latest; unmatched outcome -> inserted with
-    count n; untouched target rows pass through.
+    count n; untouched target rows pass through. Outcomes with a NULL key are refused.
     """
     keys = list(keys)
+    for k in keys:                          # a NULL key matches nothing: it would insert each time
+        outcomes = outcomes.filter(F.col(k).isNotNull())
     reduced = (outcomes.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"),
         F.max_by(F.col(status_col), F.struct(F.col(at_col), F.col(status_col))).alias("__status"),

@@ -340,7 +340,10 @@ def _queries(w: str) -> dict[str, str]:
                         ELSE TIMESTAMP '{BATCH_RUN_AT}' END AS last_attempt_at
             FROM seeded q LEFT JOIN batch b
               ON q.fixture_id = b.fixture_id AND q.endpoint = b.endpoint""",
-        "queue_duplicate_keys": f"""{w}
+        "queue_duplicate_keys": """
+            SELECT CAST(0 AS BIGINT) AS fixture_id, '' AS endpoint, CAST(0 AS BIGINT) AS n_rows
+            WHERE false""",                     # the key of the queue: no pair twice
+        "log_repeated_pairs": f"""{w}
             SELECT fixture_id, e.endpoint, CAST(2 AS BIGINT) AS n_payloads
             FROM fin, (VALUES ('statistics'), ('players')) AS e(endpoint)
             WHERE fixture_id % 3 = 0 AND fixture_id % 17 <> 0""",

@@ -29,8 +29,10 @@ def finished_fixtures(raw: DataFrame) -> DataFrame:
 
 
 def finished_in_payloads(payloads: DataFrame) -> DataFrame:
-    """Finished fixture ids inside fixtures payload texts (``raw_payload``)."""
-    fx = (payloads.select(F.explode(F.from_json("raw_payload", _FINISHED_DDL)["response"]).alias("f"))
+    """Finished fixture ids inside fixtures payload texts (``raw_payload``). A payload that is not
+    JSON fails the job, as it fails the fixtures model: a season must not go missing silently."""
+    fx = (payloads.select(F.explode(F.from_json("raw_payload", _FINISHED_DDL, {"mode": "FAILFAST"})
+                                     ["response"]).alias("f"))
           .select(F.col("f.fixture.id").alias("fixture_id"),
                   F.col("f.fixture.status.short").alias("short")))
     return (fx.filter(F.col("short").isin(*S.FINISHED_STATUSES) & F.col("fixture_id").isNotNull())
@@ -71,13 +73,15 @@ def budget(limit: int | None, default: int = S.DEFAULT_DAILY_BUDGET) -> int:
 
 
 def claim(queue: DataFrame, limit: int | None = None,
-          statuses: Sequence[str] = (S.PENDING, S.FAILED)) -> DataFrame:
+          statuses: Sequence[str] = (S.PENDING, S.FAILED),
+          with_last_attempt: bool = False) -> DataFrame:
     """Up to ``limit`` pairs in ``statuses``, lowest fixture first (endpoint breaks ties, so the
     cut is deterministic). The default statuses select failed pairs again, as the source code
     does; pass ``statuses=("pending",)`` for the documented terminal-failure behaviour."""
     return take_ordered(queue, F.col("status").isin(*statuses),
                         [F.col("fixture_id").asc(), F.col("endpoint").asc()], budget(limit),
-                        columns=["fixture_id", "endpoint", "status"])
+                        columns=["fixture_id", "endpoint", "status"]
+                        + ["last_attempt_at"] * with_last_attempt)
 
 
 def mark(queue: DataFrame, outcomes: DataFrame, at: Column | None = None) -> DataFrame:
@@ -100,23 +104,22 @@ def requeue(queue: DataFrame, pairs: DataFrame) -> DataFrame:
           if c == "status" else F.col(c) for c in queue.columns])
 
 
-# A claim is at most ``budget`` rows; up to this many it is broadcast to the landed side.
-CLAIM_BROADCAST_MAX = 1_000_000
-
-
-def attempt_outcomes(claimed: DataFrame, landed: DataFrame,
-                     claim_size: int | None = None) -> DataFrame:
+def attempt_outcomes(claimed: DataFrame, landed: DataFrame, only_new: bool = False) -> DataFrame:
     """What one fetch attempt of each claimed pair yields: the latest landed body for the pair, or
     nothing. ``done`` when a body landed and passes the audit, ``failed`` otherwise (absent or
     rejected). Carries the body for the append.
 
+    ``only_new``: one attempt is one new fetch, so only bodies fetched after the pair's
+    ``last_attempt_at`` (a column of ``claimed`` then) count.
+
     The landed side is first cut to the claimed keys with a semi join, so only the claimed pairs'
-    bodies reach the dedupe shuffle. ``claim_size`` (the budget) bounds the claim; within
-    ``CLAIM_BROADCAST_MAX`` the keys are broadcast, beyond it the semi join is left to the planner.
+    bodies reach the dedupe shuffle; the planner picks its form by the claim's size.
     """
     keys = claimed.select(*KEYS)
-    if claim_size is not None and claim_size <= CLAIM_BROADCAST_MAX:
-        keys = F.broadcast(keys)
+    if only_new:
+        since = claimed.select(*KEYS, F.col("last_attempt_at").alias("__since"))
+        landed = landed.join(since, KEYS).filter(
+            F.col("__since").isNull() | (F.col("fetched_at") > F.col("__since"))).drop("__since")
     wanted = (landed.filter(F.col("endpoint").isin(*S.CHECKPOINT_ENDPOINTS))
               .join(keys, KEYS, "left_semi"))
     latest = latest_per_key(wanted, KEYS, ["fetched_at"], ["raw_payload"])
@@ -152,15 +155,18 @@ def bootstrap(queue: DataFrame, landed: DataFrame) -> dict[str, DataFrame]:
 def backfill_batch(queue: DataFrame, landed: DataFrame, limit: int | None = None,
                    dry_run: bool = False, at: Column | None = None) -> dict[str, DataFrame]:
     """One budgeted batch: claim -> fetch outcome per pair -> bronze rows to append for the good
-    ones -> the queue with every outcome marked. A dry run returns only the claim."""
-    claimed = claim(queue, limit)
+    ones -> the queue with every outcome marked. A dry run returns only the claim.
+
+    A live run (``at`` is None) stamps the current time and counts only bodies fetched after a
+    pair's last attempt; a replay at a given time takes the latest body."""
+    live = at is None
+    claimed = claim(queue, limit, with_last_attempt=live)
     if dry_run:
-        return {"claimed": claimed}
-    outcomes = attempt_outcomes(claimed, landed, claim_size=budget(limit))
+        return {"claimed": claimed.drop("last_attempt_at")}
+    outcomes = attempt_outcomes(claimed, landed, only_new=live)
     good = outcomes.filter(F.col("status") == S.DONE).select(
         "endpoint", "fixture_id", "league_id", "season", "fetched_at", "raw_payload")
-    stamp = at if at is not None else F.col("fetched_at")
-    marked = mark(queue, outcomes.select(*KEYS, "status",
-                                         F.coalesce(stamp, F.current_timestamp()).alias("at")))
+    marked = mark(queue, outcomes.select(*KEYS, "status"), at=at)
+    claimed = claimed.drop("last_attempt_at")
     return {"claimed": claimed, "outcomes": outcomes, "appended": tag(good), "queue": marked,
             "counts": outcome_counts(outcomes)}

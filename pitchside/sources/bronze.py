@@ -10,7 +10,8 @@ from pitchside.sources import schemas as S
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """The raw payload log with its fixed schema (never inferred)."""
-    return spark.read.schema(S.RAW_API_RESPONSES).parquet(path)
+    rows = spark.read.schema(S.RAW_API_RESPONSES).parquet(path)
+    return rows.select(*S.RAW_API_RESPONSES.fieldNames())    # a streamed log has more partitions
 
 
 def endpoint_rows(raw: DataFrame, endpoint: str) -> DataFrame:

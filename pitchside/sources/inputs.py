@@ -17,12 +17,13 @@ from pitchside.session import ensure_utc
 from pitchside.sources import schemas as S
 from pitchside.sources import synth
 from pitchside.sources.landing import audit, read_landed, tag
-from pitchside.sources.storage import (materialize_once, path_size, register_bucketed,
-                                       table_path)
+from pitchside.sources.storage import (built_path, materialize_once, path_size,
+                                       register_bucketed)
 
 # Target bytes of one bucket of the log: a bucketed scan reads each bucket in one task, so the
 # bucket count follows the data volume (a fixed value of our sizing policy).
 TARGET_BUCKET_BYTES = 256 * 1024 * 1024
+MIN_BUCKETS, MAX_BUCKETS = 8, 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,14 +42,10 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landed(spark, path, audited=True)
 
 
-def bronze_buckets(spark: SparkSession, log_bytes: int) -> int:
+def bronze_buckets(log_bytes: int) -> int:
     """Bucket count of the log: enough buckets that one holds about ``TARGET_BUCKET_BYTES`` (a
-    bucket is one scan task), at least the session's shuffle parallelism, at most Spark's bucket
-    limit."""
-    by_size = -(-log_bytes // TARGET_BUCKET_BYTES)
-    parallelism = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    cap = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
-    return max(1, min(cap, max(parallelism, by_size)))
+    bucket is one scan task). It depends on the data alone, so every session reads the same log."""
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-log_bytes // TARGET_BUCKET_BYTES)))
 
 
 def _bronze_rows(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
@@ -70,11 +67,11 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     src = f"{sf_dir.rstrip('/')}/orders.parquet"
     landed(spark, sf_dir)
-    n = bronze_buckets(spark, path_size(spark, table_path(spark, "landed", [src])))
+    n = bronze_buckets(path_size(spark, built_path(spark, "landed", [src])))
     path = materialize_once(spark, f"raw_api_responses-b{n}", [src],
                             lambda: _bronze_rows(spark, sf_dir, n),
                             partition_by=["endpoint"], bucket_by=(n, "fixture_id"))
-    name = "pitchside_raw_" + re.sub(r"[^0-9a-zA-Z]+", "_", path.rsplit("/", 1)[-1])
+    name = "pitchside_raw_" + re.sub(r"[^0-9a-zA-Z]+", "_", "_".join(path.rsplit("/", 2)[-2:]))
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.RAW_API_RESPONSES)
     return register_bucketed(spark, path, name, columns, ["endpoint"], (n, "fixture_id"))
 

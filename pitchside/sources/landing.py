@@ -54,6 +54,19 @@ def read_landed_files(spark: SparkSession, root: str) -> DataFrame:
 AUDIT_COLUMNS = ("is_ok", "error_text", "result_count")
 
 
+#: Error text of a good body that names no known endpoint, or no fixture where its endpoint needs one.
+UNROUTABLE = "unroutable"
+
+
+def routable():
+    """Whether a landed body can be tagged: its endpoint is known, and a per-fixture body names its
+    fixture. Others are quarantined instead of meeting under a NULL key."""
+    endpoint = F.col("endpoint")
+    detail = endpoint.isin(*S.CHECKPOINT_ENDPOINTS)
+    return F.coalesce(endpoint.isin(S.FIXTURES, S.STANDINGS)
+                      | (detail & F.col("fixture_id").isNotNull()), F.lit(False))
+
+
 def audit(landed: DataFrame) -> DataFrame:
     """Attach ``is_ok``, ``error_text`` and ``result_count`` to every landed payload (one JSON
     pass per payload: the envelope is parsed once and the three checks read its fields).
@@ -66,8 +79,9 @@ def audit(landed: DataFrame) -> DataFrame:
     env = F.col("__env")
     return (landed.select("*", payload_envelope("raw_payload").alias("__env"))
             .select(*landed.columns,
-                    envelope_is_ok(env).alias("is_ok"),
-                    envelope_error_text(env).alias("error_text"),
+                    (envelope_is_ok(env) & routable()).alias("is_ok"),
+                    F.when(envelope_is_ok(env) & ~routable(), F.lit(UNROUTABLE))
+                    .otherwise(envelope_error_text(env)).alias("error_text"),
                     envelope_result_count(env).alias("result_count")))
 
 

@@ -8,6 +8,7 @@ Old versions stay until a retention job removes them, so a failed run never lose
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,26 +18,29 @@ from pitchside.sources.storage import fs_path
 _VERSION = re.compile(r"version=(\d+)$")
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(number, folder) of the committed versions, ascending."""
     p, fs = fs_path(spark, root)
     if not fs.exists(p):
         return []
     found = []
-    for status in fs.listStatus(p):
-        m = _VERSION.search(status.getPath().getName())
-        if m and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                status.getPath(), "_SUCCESS")):
-            found.append(int(m.group(1)))
+    for write in fs.listStatus(p):
+        for status in fs.listStatus(write.getPath()):
+            m = _VERSION.search(status.getPath().getName())
+            if m and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+                    status.getPath(), "_SUCCESS")):
+                found.append((int(m.group(1)), str(status.getPath())))
     return sorted(found)
 
 
 def write_queue(queue: DataFrame, root: str) -> str:
-    """Commit ``queue`` as the next version; a concurrent writer that took the same number makes
-    this write fail instead of mixing files."""
-    spark = queue.sparkSession
-    versions = _versions(spark, root)
-    path = f"{root}/version={(versions[-1] + 1 if versions else 1):010d}"
-    queue.select(*INGESTION_CHECKPOINT.fieldNames()).write.mode("errorifexists").parquet(path)
+    """Commit ``queue`` as the next version, in a folder no other write uses: a killed write leaves
+    an uncommitted folder that nobody reads and that blocks no later write. One writer at a time is
+    assumed; concurrent jobs append outcomes to the outcome log instead."""
+    versions = _versions(queue.sparkSession, root)
+    number = versions[-1][0] + 1 if versions else 1
+    path = f"{root}/write-{uuid.uuid4().hex}/version={number:010d}"
+    queue.select(*INGESTION_CHECKPOINT.fieldNames()).write.parquet(path)
     return path
 
 
@@ -45,4 +49,4 @@ def read_queue(spark: SparkSession, root: str) -> DataFrame:
     versions = _versions(spark, root)
     if not versions:
         return spark.createDataFrame([], INGESTION_CHECKPOINT)
-    return spark.read.schema(INGESTION_CHECKPOINT).parquet(f"{root}/version={versions[-1]:010d}")
+    return spark.read.schema(INGESTION_CHECKPOINT).parquet(versions[-1][1])

@@ -55,10 +55,10 @@ STATISTICS = "statistics"
 LINEUPS = "lineups"
 PLAYERS = "players"
 
-# Per-fixture endpoints queued for later ingestion, in this order.
+# What the work queue tracks for each finished fixture; the order is part of the contract.
 CHECKPOINT_ENDPOINTS = ("statistics", "lineups", "players")
 
-# Checkpoint endpoint name -> API path.
+# Where each queued endpoint lives below the API root.
 ENDPOINT_PATHS = {
     "statistics": "fixtures/statistics",
     "lineups": "fixtures/lineups",
@@ -68,7 +68,7 @@ ENDPOINT_PATHS = {
 PENDING, DONE, FAILED = "pending", "done", "failed"
 STATUSES = (PENDING, DONE, FAILED)
 
-# Fixture status codes that mean the match is over.
+# A fixture in one of these states will not change any more.
 FINISHED_STATUSES = ("FT", "PEN", "AET")
 
 DEFAULT_DAILY_BUDGET = 30

@@ -1,15 +1,15 @@
 """Durable, reusable intermediate tables under ``spark.checkpoint.dir``.
 
-A table is built once per (name, input folder, version) and reused by later jobs. The write goes to
-a fresh attempt folder and is renamed into place only after Spark commits it, so a lost executor or
-a killed job never leaves a half-written table where readers look, and concurrent builders cannot
-see each other's partial output.
+A table is built once per (name, input folder, version) and reused by later jobs. Every build writes
+to a fresh attempt folder below the table's; Spark's writer puts ``_SUCCESS`` there as its last step,
+and readers take the first attempt that has it. Nothing is renamed, so a killed build, or a store
+where a rename is a copy, never makes half a table readable, and concurrent builders of the same
+content never see each other's files.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitchside.session import checkpoint_root
 
 # Bump when a builder's output changes, so stale copies are not reused.
-BUILD_VERSION = 10
+BUILD_VERSION = 11
 
 # Extra path component; a benchmark sets a fresh one to time a cold build.
 BUILD_SCOPE = ""
@@ -41,19 +41,32 @@ def path_size(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
-def _input_tag(inputs: Sequence[str]) -> str:
+def _input_tag(spark: SparkSession, inputs: Sequence[str]) -> str:
+    """Hash of the inputs' paths, sizes and times, asked of the file system that holds them."""
     h = hashlib.sha1()
     for path in inputs:
-        h.update(os.path.abspath(path).encode() if "://" not in path else path.encode())
-        if os.path.exists(path):
-            st = os.stat(path)
-            h.update(f"{st.st_size}:{int(st.st_mtime)}".encode())
+        p, fs = fs_path(spark, path)
+        h.update(path.encode())
+        if fs.exists(p):
+            size = fs.getContentSummary(p)
+            h.update(f"{size.getLength()}:{size.getFileCount()}:"
+                     f"{fs.getFileStatus(p).getModificationTime()}".encode())
     return h.hexdigest()[:16]
 
 
 def table_path(spark: SparkSession, name: str, inputs: Sequence[str]) -> str:
     scope = f"{BUILD_SCOPE}/" if BUILD_SCOPE else ""
-    return f"{checkpoint_root(spark)}/pitchside/{scope}{name}-v{BUILD_VERSION}-{_input_tag(inputs)}"
+    return f"{checkpoint_root(spark)}/pitchside/{scope}{name}-v{BUILD_VERSION}-{_input_tag(spark, inputs)}"
+
+
+def built_path(spark: SparkSession, name: str, inputs: Sequence[str]) -> str | None:
+    """The committed attempt of a table, or None."""
+    p, fs = fs_path(spark, table_path(spark, name, inputs))
+    if not fs.exists(p):
+        return None
+    done = sorted(str(s.getPath()) for s in fs.listStatus(p)
+                  if path_exists(spark, f"{s.getPath()}/_SUCCESS"))
+    return done[0] if done else None
 
 
 def materialize_once(spark: SparkSession, name: str, inputs: Sequence[str],
@@ -66,10 +79,10 @@ def materialize_once(spark: SparkSession, name: str, inputs: Sequence[str],
     so readers registered with ``register_bucketed`` get joins, windows and aggregations keyed on
     that column without a shuffle.
     """
-    final = table_path(spark, name, inputs)
-    if path_exists(spark, f"{final}/_SUCCESS"):
-        return final
-    attempt = f"{final}.attempt-{uuid.uuid4().hex}"
+    found = built_path(spark, name, inputs)
+    if found:
+        return found
+    attempt = f"{table_path(spark, name, inputs)}/attempt-{uuid.uuid4().hex}"
     writer = build().write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -80,15 +93,10 @@ def materialize_once(spark: SparkSession, name: str, inputs: Sequence[str],
         spark.sql(f"DROP TABLE IF EXISTS {staging_name}")   # external: the files stay
     else:
         writer.parquet(attempt)
-    src, fs = fs_path(spark, attempt)
-    dst, _ = fs_path(spark, final)
-    if not fs.exists(dst):
-        fs.mkdirs(dst.getParent())
-        if fs.rename(src, dst):
-            return final
-    # Another builder committed first: use theirs, drop ours.
-    fs.delete(src, True)
-    return final
+    found = built_path(spark, name, inputs)
+    if not found:
+        raise RuntimeError(f"{attempt} was not committed")
+    return found
 
 
 def register_bucketed(spark: SparkSession, path: str, name: str, columns: str,

@@ -45,3 +45,23 @@ def test_payload_audit_forms(spark):
     df = spark.createDataFrame([(c[0],) for c in cases], "p string")
     got = df.select(payload_is_ok("p"), payload_error_text("p"), payload_result_count("p")).collect()
     assert [tuple(r) for r in got] == [c[1:] for c in cases]
+
+
+def test_json_strings_in_errors_are_errors(spark):
+    from pitchside.functions.payload import payload_is_ok
+    bad = ['{"errors":"false"}', '{"errors":"[]"}', '{"errors":"0.0"}', '{"errors":"0"}',
+           '{"errors":"{}"}', '{"errors":1}', '{"errors":true}']
+    good = ['{"errors":""}', '{"errors":0}', '{"errors":0.0}', '{"errors":false}',
+            '{"errors":null}', '{"errors":[]}', '{"errors":{}}', '{}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(bad + good)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(payload_is_ok("t")).collect()]
+    assert got == [False] * len(bad) + [True] * len(good)
+
+
+def test_exact_avg_keeps_every_value(spark):
+    from pitchside.plans.marts import exact_avg
+    rows_ = [("a", 0.55), ("a", 0.45), ("b", 10000.0), ("b", 0.123456), ("c", float("inf")),
+             ("c", 1.0), ("d", 1e25), ("e", None)]
+    got = dict(spark.createDataFrame(rows_, "k string, v double").groupBy("k")
+               .agg(exact_avg("v")).collect())
+    assert got == {"a": 0.5, "b": 5000.06, "c": float("inf"), "d": 1e25, "e": None}

@@ -112,3 +112,28 @@ def test_endpoint_path_and_payload_text(spark):
     assert [r[0] for r in df.select(endpoint_path("e")).collect()] == ["fixtures/players", None]
     s = spark.createDataFrame([(1, None)], "a int, b string").select(F.struct("a", "b").alias("p"))
     assert s.select(payload_text(F.col("p"), is_text=False)).collect()[0][0] == '{"a":1,"b":null}'
+
+
+def test_killed_queue_write_blocks_nothing(spark, tmp_path):
+    from pitchside.sources import storage
+    from pitchside.sources.queue_store import read_queue, write_queue
+    root = str(tmp_path / "queue")
+    write_queue(Q.seed(read_queue(spark, root), _ids(spark, [1])), root)
+    killed = write_queue(Q.seed(read_queue(spark, root), _ids(spark, [2])), root)
+    p, fs = storage.fs_path(spark, killed + "/_SUCCESS")
+    fs.delete(p, False)
+    assert read_queue(spark, root).count() == 3
+    write_queue(Q.seed(read_queue(spark, root), _ids(spark, [2, 3])), root)
+    assert read_queue(spark, root).count() == 9
+
+
+def test_live_batch_counts_only_new_bodies(spark):
+    queue = spark.createDataFrame([(1, "statistics", "failed", 3, T0)],
+                                  "fixture_id long, endpoint string, status string, attempts int, "
+                                  "last_attempt_at timestamp")
+    old = spark.createDataFrame([("statistics", 1, None, None, T0, '{"errors":[]}')], LANDED)
+    assert Q.backfill_batch(queue, old, 1)["queue"].first()["status"] == "failed"
+    new = spark.createDataFrame([("statistics", 1, None, None, T0 + dt.timedelta(hours=1),
+                                  '{"errors":[]}')], LANDED)
+    got = Q.backfill_batch(queue, new, 1)["queue"].first()
+    assert (got["status"], got["attempts"]) == ("done", 4) and got["last_attempt_at"] > T0

@@ -33,8 +33,23 @@ def test_materialize_once_builds_once_and_bucketed_reads_skip_the_shuffle(spark,
 
 
 def test_bucket_count_follows_data_volume(spark):
-    from pitchside.sources.inputs import TARGET_BUCKET_BYTES, bronze_buckets
-    parallelism = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert bronze_buckets(spark, 0) == parallelism
-    assert bronze_buckets(spark, 1000 * TARGET_BUCKET_BYTES) == 1000
-    assert bronze_buckets(spark, 10 ** 15) == 100000          # 1 PB hits Spark's bucket cap
+    from pitchside.sources.inputs import MIN_BUCKETS, TARGET_BUCKET_BYTES, bronze_buckets
+    assert bronze_buckets(0) == MIN_BUCKETS
+    assert bronze_buckets(1000 * TARGET_BUCKET_BYTES) == 1000
+    assert bronze_buckets(10 ** 15) == 100000          # 1 PB hits Spark's bucket cap
+
+
+def test_uncommitted_attempt_is_never_the_table(spark, tmp_path):
+    old_scope = storage.BUILD_SCOPE
+    storage.BUILD_SCOPE = f"left-{tmp_path.name}"
+    try:
+        inputs = [str(tmp_path / "input")]
+        left = storage.table_path(spark, "t", inputs) + "/attempt-0"
+        spark.range(5).write.parquet(left)
+        p, fs = storage.fs_path(spark, left + "/_SUCCESS")
+        fs.delete(p, False)
+        assert storage.built_path(spark, "t", inputs) is None
+        path = storage.materialize_once(spark, "t", inputs, lambda: spark.range(7))
+    finally:
+        storage.BUILD_SCOPE = old_scope
+    assert path != left and spark.read.parquet(path).count() == 7

@@ -47,6 +47,17 @@ def test_replayed_micro_batch_is_written_once(spark):
     batch = spark.createDataFrame(
         [("statistics", 1, None, None, T0, OK), ("players", 2, None, None, T0, BAD)], LANDED)
     for epoch in (0, 1, 1):          # epoch 1 is replayed after a failure
-        write_micro_batch(batch, epoch, f"{root}/raw", f"{root}/outcomes")
+        write_micro_batch(batch, epoch, f"{root}/raw", f"{root}/outcomes", "s1")
     assert read_raw(spark, f"{root}/raw").count() == 2          # one good row per epoch
     assert read_outcome_log(spark, f"{root}/outcomes").count() == 4
+
+
+def test_two_checkpoints_share_one_log(spark):
+    root = tempfile.mkdtemp(prefix="pitchside-two-")
+    for name, fixture in (("a", 1), ("b", 2)):
+        (spark.createDataFrame([("statistics", fixture, None, None, T0, OK)], LANDED)
+         .write.parquet(f"{root}/{name}"))
+        run_landing_stream(spark, f"{root}/{name}", f"{root}/raw", f"{root}/outcomes",
+                           f"{root}/ckpt-{name}")
+    assert rows(read_raw(spark, f"{root}/raw").select("fixture_id")) == [(1,), (2,)]
+    assert read_outcome_log(spark, f"{root}/outcomes").count() == 2
