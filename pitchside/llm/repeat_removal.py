@@ -112,12 +112,10 @@ def scan(docs: DataFrame) -> DataFrame:
              "context array<long>, bare array<int>, label array<long>")
 
 
-def shared_anchors(scanned: DataFrame, repeated: DataFrame) -> DataFrame:
-    """The anchor rows whose block has other members; a bit filter of fixed size spares most of the
-    others the shuffle, the join decides."""
-    bits = scanned.sparkSession.sparkContext.broadcast(id_filter(repeated, "block"))
-    anchors = scanned.select("i", "k", F.inline(F.arrays_zip("lo", "hi", "at", "block", "context")))
-    bit = F.pmod(F.xxhash64("block"), F.lit(FILTER_BITS)).alias("bit")
+def bit_filtered(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``column`` may be in ``wanted``: a bit filter of fixed size, before any shuffle."""
+    bits = rows.sparkSession.sparkContext.broadcast(id_filter(wanted, column))
+    bit = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).alias("bit")
 
     def run(batches):
         for batch in batches:
@@ -125,9 +123,14 @@ def shared_anchors(scanned: DataFrame, repeated: DataFrame) -> DataFrame:
             keep = (bits.value[bit // 32] >> (bit % 32)) & 1
             yield batch.drop_columns(["bit"]).filter(pa.array(keep.astype(bool)))
 
-    may = anchors.select("*", bit).mapInArrow(
-        run, "i long, k long, lo int, hi int, at int, block long, context long")
-    return may.join(repeated, "block")
+    return rows.select("*", bit).mapInArrow(run, rows.schema)
+
+
+def shared_anchors(scanned: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The anchor rows whose block has other members; the bit filter spares most of the others the
+    shuffle, the join decides."""
+    anchors = scanned.select("i", "k", F.inline(F.arrays_zip("lo", "hi", "at", "block", "context")))
+    return bit_filtered(anchors, "block", repeated).join(repeated, "block")
 
 
 def _packed(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -204,6 +207,9 @@ def split_spans(docs: DataFrame, contexts: DataFrame) -> DataFrame:
     steps = stored(_per_text(
         texts, contexts, ["lo", "hi", "at", "once", "i", "k"], _step_labels,
         "core long, union long, a int, b int, once boolean, i long, k long"), "repeat-steps")
+    # Most steps lie outside repeats: their cores stand once, and they end here.
+    cores = steps.groupBy("core").count().filter("count > 1").select("core")
+    steps = stored(bit_filtered(steps, "core", stored(cores, "repeat-cores")), "repeat-steps")
     again = steps.groupBy("core", "union").agg(
         F.count("*").alias("n"), F.bool_or("once").alias("once"),
         F.min(F.struct("i", "k", "a", "b")).alias("one"))
@@ -247,8 +253,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     bare_again = bare.groupBy("label").count().filter("count > 1").select("label")
     bare = bare.join(bare_again, "label").select("i", "k", F.col("bare").alias("start"),
                                                  (F.col("bare") + LENGTH).alias("end"))
-    spans = whole.union(split_spans(docs, part)).union(bare).distinct()
-    return spans.groupBy("i", "k").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = whole.union(split_spans(docs, part)).union(bare)
+    return spans.groupBy("i", "k").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 def merge_spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
