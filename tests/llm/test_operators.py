@@ -233,6 +233,31 @@ def test_line_dedup(docs, none):
     assert line_dedup.dedup_report(none).count() == 0
 
 
+def test_line_dedup_every_position(spark):
+    """Own shingles: one changed word in a short line is a near copy; lines without blanks that only
+    begin alike are not; the emoji is one character; very short lines meet, too."""
+    r = np.random.default_rng(31)
+    lines = ["https://www.example.com/report-2019", "https://www.example.com/cart/checkout",
+             "", "abc", "abcd", "abcdefgh", "abcdefghi", "\U0001F600\U0001F601 smiling \U0001F602",
+             "\U0001F600\U0001F601 smiling \U0001F602!"]
+    for i in range(60):
+        t = prose(int(r.integers(3, 40)), 900 + i)
+        at = int(r.integers(0, len(t)))
+        lines += [t, t[:at] + "xy" + t[at + 1:]]
+    shingles = lambda n: {n[k:k + 5] for k in range(max(1, len(n) - 4))}
+    sets = {n: shingles(n) for n in lines if n}
+    pairs = [(a, b) for a in sets for b in sets if a < b
+             and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    assert len(pairs) > 40
+    comp, seen, expected = union(pairs, sets), set(), []
+    for p, n in enumerate(lines):
+        if n and comp[n] in seen:
+            expected.append(p)
+        seen.add(comp[n] if n else None)
+    df = spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")
+    assert line_dedup.dedup_report(df).first().removed == expected
+
+
 def test_gru_lm(docs, none):
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in documents()}
     count = collections.Counter()
