@@ -4,8 +4,8 @@ Documents are sets of word 3-gram hashes. Equal sets are one class (grouped by a
 copies are never expanded; what follows runs on class representatives.
 
 * **Light sets** (size up to a boundary): two linked sets share a subset of a fixed size, so each set
-  enumerates its subsets with up to ``size // 10`` elements left out (Jaccard 0.9; the hash of a
-  subset is the sum of its elements' hashes) and equal subsets meet.
+  enumerates its subsets with as many elements left out as a link allows (``size // 10`` for Jaccard
+  0.9; the hash of a subset is the sum of its elements' hashes) and equal subsets meet.
 * **Heavy sets**: an inverted list per prefix element, rarest elements first. Two linked sets share
   an element of their prefixes. The order puts frequent shingles last; it is a table of bounded size,
   and any order gives the same links, so the bound costs time only.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import combinations
 from math import comb
 
 import numpy as np
@@ -47,8 +48,8 @@ BIT_WORDS = 8
 BITS = [f"b{j}" for j in range(BIT_WORDS)]
 #: Rounds in which lists link neighbours before components are compared in full.
 CHAIN_ROUNDS = 3
-#: Boundaries weighed for light sets: below 10, 20, 30 elements 0, 1, 2 elements can differ.
-BOUNDARIES = (9, 19, 29)
+#: Light sets leave out up to so many elements: that bounds their subsets at any similarity.
+MOST_LEFT_OUT = 2
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int):
@@ -87,6 +88,14 @@ def bitmap(s: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(odd).view(np.int64)
 
 
+def boundaries(num: int = NUM, den: int = DEN) -> tuple[int, ...]:
+    """Boundaries weighed for light sets: the largest sizes of which 0, 1, ... ``MOST_LEFT_OUT``
+    elements can be missing in a linked set (9, 19, 29 for 0.9; 4, 9, 14 for 0.8)."""
+    if num >= den:
+        return (0,)
+    return tuple(-(-(d + 1) * den // (den - num)) - 1 for d in range(MOST_LEFT_OUT + 1))
+
+
 def choose_boundary(sizes: dict[int, int], num: int = NUM, den: int = DEN) -> int:
     """The boundary with the fewest postings: subsets of light sets plus prefix elements of the
     others (and of light sets near the boundary, which can link across it)."""
@@ -96,7 +105,7 @@ def choose_boundary(sizes: dict[int, int], num: int = NUM, den: int = DEN) -> in
         heavy = sum(c * (n * (den - num) // den + 1) for n, c in sizes.items()
                     if n * den >= (x + 1) * num)
         return light + heavy
-    return min(BOUNDARIES, key=cost)
+    return min(boundaries(num, den), key=cost)
 
 
 def _subsets(s: np.ndarray, drop: int) -> np.ndarray:
@@ -105,10 +114,8 @@ def _subsets(s: np.ndarray, drop: int) -> np.ndarray:
     total = m.sum(dtype=U)
     if drop == 0:
         return np.array([total], dtype=U)
-    if drop == 1:
-        return total - m
-    i, j = np.triu_indices(len(m), 1)
-    return total - m[i] - m[j]
+    out = np.array(list(combinations(range(len(m)), drop)), dtype=np.int64).reshape(-1, drop)
+    return total - m[out].sum(axis=1, dtype=U)
 
 
 def signatures(docs: DataFrame, frequent: np.ndarray, boundary: int, size: int,
@@ -353,19 +360,19 @@ def small_sizes(docs: DataFrame, size: int, num: int = NUM, den: int = DEN) -> d
     """How many documents have so many words, for the few sizes that the boundary depends on."""
     words = F.size(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
     n = F.when(words > 0, F.greatest(words - (size - 1), F.lit(1))).otherwise(0).alias("n")
-    top = max(BOUNDARIES) * den // num + 1
+    top = max(boundaries(num, den)) * den // num + 1
     near = docs.select(n).filter(F.col("n") <= top)
     return {r[0]: r[1] for r in near.groupBy("n").count().collect()}
 
 
-def jaccard_classes(docs: DataFrame, size: int = 3) -> DataFrame:
+def jaccard_classes(docs: DataFrame, size: int = 3, num: int = NUM, den: int = DEN) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links).
 
     Empty, null and word-less texts have an empty set and are a component of their own; a null
     doc_id stays null and links with nothing; repeated rows give repeated result rows; other columns
     of ``docs`` are ignored; an empty table gives no rows.
     """
-    members, classes = link_classes(docs, size)
+    members, classes = link_classes(docs, size, num, den)
     return members.join(classes, members["rep"] == classes["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -370,3 +371,45 @@ def test_jaccard_join_light_and_heavy_sets(spark):
     comp = union(pairs, sets)
     out = jaccard_join.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {q.doc_id: q.component_id for q in out.collect()} == comp
+
+
+def word_sets(rows, size):
+    out = {}
+    for i, t in rows:
+        w = words(t)
+        out[i] = frozenset(tuple(w[k:k + size]) for k in range(max(1, len(w) - size + 1)))
+    return out
+
+
+def test_jaccard_join_five_words_at_eight_tenths(spark):
+    """Sets of 5 to 30 shingles of which up to a fifth differs, light, heavy and across; subsets
+    with any number of elements left out."""
+    s = np.arange(1, 9, dtype=np.uint64)
+    for drop in range(5):
+        got_sums = sorted(int(x) for x in jaccard_join._subsets(s, drop))
+        m = [int(x) for x in jaccard_join.mix(s)]
+        assert got_sums == sorted(sum(c) % (1 << 64) for c in itertools.combinations(m, 8 - drop))
+    assert jaccard_join.boundaries() == (9, 19, 29) and jaccard_join.boundaries(80, 100) == (4, 9, 14)
+    r = np.random.default_rng(12)
+    rows = []
+    for i in range(320):
+        t = prose(9 + i % 26, 700 + i % 40).split()
+        for _ in range(int(r.integers(0, 7))):
+            t[0 if r.random() < 0.5 else -1] = str(r.choice(VOCAB))
+            if r.random() < 0.5:
+                t = t[1:]
+            elif r.random() < 0.5:
+                t = t + [str(r.choice(VOCAB))]
+        rows.append((i, " ".join(t)))
+    sets = word_sets(rows, 5)
+    pairs = [(a, b) for a in sets for b in sets if a < b
+             and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert sum(15 <= len(sets[a]) < 30 and sets[a] != sets[b] for a, b in pairs) > 10
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    comp = union(pairs, sets)
+    for boundary in (None, 19):          # sets with three elements left out
+        with pytest.MonkeyPatch.context() as patch:
+            if boundary:
+                patch.setattr(jaccard_join, "choose_boundary", lambda *a: boundary)
+            out = jaccard_join.jaccard_classes(df, 5, 80, 100)
+            assert {q.doc_id: q.component_id for q in out.collect()} == comp
