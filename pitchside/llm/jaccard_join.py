@@ -35,6 +35,8 @@ from pitchside.llm.textnum import U, Words, chunks, distinct, mix, shingle_sets
 
 #: Similarity of a link, as a fraction: 100 * intersection >= 90 * union.
 NUM, DEN = 90, 100
+#: The pipeline's stage: words of a shingle and similarity of a link.
+STAGE = (5, 80, 100)
 #: Most entries of the frequent-shingle table that orders prefixes (8 MB); affects cost alone.
 ORDER_ENTRIES = 1 << 19
 #: A shingle enters that table's count from a run of texts when it is in so many of them.
@@ -379,8 +381,8 @@ def jaccard_classes(docs: DataFrame, size: int = 3, num: int = NUM, den: int = D
 
 def keep_one_per_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each class of linked documents the smallest doc_id stays."""
-    classes = jaccard_classes(docs).select(F.col("doc_id").alias("_id"),
-                                           F.col("component_id").alias("_class"))
+    classes = jaccard_classes(docs, *STAGE).select(F.col("doc_id").alias("_id"),
+                                                   F.col("component_id").alias("_class"))
     gone = classes.filter("_id <> _class").select("_id").distinct()
     return docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
 
