@@ -413,3 +413,23 @@ def test_jaccard_join_five_words_at_eight_tenths(spark):
                 patch.setattr(jaccard_join, "choose_boundary", lambda *a: boundary)
             out = jaccard_join.jaccard_classes(df, 5, 80, 100)
             assert {q.doc_id: q.component_id for q in out.collect()} == comp
+
+
+def test_pipeline_stage_keeps_one_document_per_class(spark):
+    """Five words at 0.8, by brute force; repeated rows, null ids, one id with two texts."""
+    def edited(t, k):
+        w = t.split()
+        return " ".join(["new"] * k + w[k:])
+    a, b, c, d = (prose(40, 800 + i) for i in range(4))
+    rows = [(5, a), (3, edited(a, 3)), (9, edited(b, 2)), (7, b), (7, b), (7, c), (8, c), (None, d),
+            (None, d), (None, a), (11, ""), (12, None), (12, None), (13, edited(c, 9)), (2, prose(30, 9))]
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, x int")
+    keys = sorted({(i is None, i or 0, t or "") for i, t in rows})
+    sets = word_sets([(k, k[2]) for k in keys], 5)
+    pairs = [(p, q) for p in keys for q in keys if p < q and words(p[2]) and words(q[2])
+             and 100 * len(sets[p] & sets[q]) >= 80 * len(sets[p] | sets[q])]
+    comp = union(pairs, keys)
+    expected = sorted((k[1], k[2]) for k in keys if comp[k] == k)
+    out = jaccard_join.keep_one_per_class(spark, df, "")
+    assert out.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == expected
