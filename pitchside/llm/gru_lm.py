@@ -5,8 +5,8 @@
   classes of ``CLASS_SIZE`` by frequency. The softmax is factored: class, then token within class.
   A rare token's probability is that of ``rare`` times its smoothed share of the rare counts.
 * Training: each round, every partition runs truncated backpropagation through time over the
-  teaching documents that the round takes (a fixed share of all, by hash, so it grows with the
-  corpus), and the partitions' weights are averaged by the tokens they saw.
+  teaching documents that the round takes (one hash residue of all), and the partitions' weights are
+  averaged by the tokens they saw. The rounds take every residue once: all teaching documents teach.
 * Scoring: documents of a run advance in step, longest first; the hidden state is carried from
   window to window, so a score is the log10 likelihood of the complete document.
 """
@@ -27,8 +27,8 @@ from pitchside.llm.textnum import U, Words, chunks, mix
 
 VOCAB, CLASS_SIZE = 4096, 64
 EMBED = HIDDEN = 16
-#: Rounds of averaged training; each takes the teaching documents of one residue of SHARE.
-ROUNDS, SHARE = 2, 16
+#: Rounds of averaged training; each takes the teaching documents of one residue of ROUNDS.
+ROUNDS = 2
 LANES, WINDOW, RATE = 32, 32, 0.01
 #: Scoring: text bytes of a run, steps of a window, tokens of one softmax slice.
 RUN_BYTES, SCORE_WINDOW, SLICE = 8 << 20, 64, 1 << 16
@@ -60,6 +60,11 @@ def _held(column: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
+def _round(column: str = "doc_id"):
+    """The round that a teaching document teaches in."""
+    return F.pmod(F.xxhash64(column), F.lit(ROUNDS))
+
+
 def count_tokens(docs: DataFrame) -> DataFrame:
     """(h, c): label and count of every distinct token of all teaching documents."""
     schema = pa.schema([("h", pa.int64()), ("c", pa.int64())])
@@ -304,7 +309,7 @@ def train(docs: DataFrame, v: Vocabulary) -> Weights:
             return pd.DataFrame([{"grp": 0, "n": int(pdf["n"].sum()),
                                   "weights": _dump(_mean(pdf["n"], pdf["weights"]))}])
 
-        took = F.pmod(F.xxhash64("doc_id"), F.lit(SHARE)) == r
+        took = _round() == r
         some = docs.filter(_teaches()).filter(took).select("text").mapInArrow(local, schema)
         parts = some.groupBy("grp").applyInPandas(average, schema).toPandas()
         if len(parts):

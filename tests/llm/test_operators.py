@@ -277,6 +277,22 @@ def test_gru_lm(docs, none):
     assert gru_lm.lm_scores(none).count() == 0
 
 
+def test_gru_every_teaching_document_teaches(spark, monkeypatch):
+    """Training sees each teaching document once, over all rounds."""
+    rows = [(i, f"only{i} here") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    teaching = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    took, seen = gru_lm._mean, []
+
+    def mean(n, weights):
+        seen.append(int(n.sum()))
+        return took(n, weights)
+    monkeypatch.setattr(gru_lm, "_mean", mean)
+    v = gru_lm.Vocabulary(np.arange(1, 4, dtype=np.uint64), np.array([3, 2, 1]), 600, 300)
+    gru_lm.train(df, v)
+    assert sum(seen) == 3 * len(teaching)
+
+
 def test_gru_gradients_and_carried_state():
     r = np.random.default_rng(0)
     labels = np.arange(1, 100, dtype=np.uint64)
