@@ -15,6 +15,7 @@ store that Spark reads.
 from __future__ import annotations
 
 import functools
+import json
 import re
 import unicodedata
 import zlib
@@ -126,15 +127,26 @@ class _Memo(dict):
         return n
 
 
+def _plain_byte_level(spec: dict) -> bool:
+    """Whether the tokenizer does nothing to a text but cut it by the byte-level pattern and merge."""
+    cut, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    return (spec.get("normalizer") is None and spec.get("truncation") is None
+            and spec.get("padding") is None and cut.get("type") == "ByteLevel"
+            and cut.get("add_prefix_space") is False and cut.get("use_regex", True) is True
+            and model.get("type", "BPE") == "BPE" and not model.get("dropout"))
+
+
 class Encoder:
     """``tokenizers`` with a memory of word pieces: merges never cross the pieces that the
     byte-level pattern cuts, so the ids of a text are those of its pieces in order, and the
     library's model merges each distinct piece once. Texts outside the plain range, or with a
-    special token's text, are encoded whole by the library."""
+    special token's text, and all texts of a tokenizer that cuts or changes them in another way, are
+    encoded whole by the library."""
 
     def __init__(self, tokenizer: str):
         self.lib = Tokenizer.from_str(tokenizer)
         self.merge = self.lib.model.tokenize
+        self.plain = _plain_byte_level(json.loads(tokenizer))
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self._clear()
 
@@ -150,7 +162,7 @@ class Encoder:
             self._clear()
         number = self.memo.__getitem__
         for i, t in enumerate(texts):
-            if _PLAIN_TEXT.fullmatch(t) and not any(s in t for s in self.special):
+            if self.plain and _PLAIN_TEXT.fullmatch(t) and not any(s in t for s in self.special):
                 pieces = _WORD.findall(t)
                 words[i] = np.fromiter(map(number, pieces), dtype=np.int64, count=len(pieces))
             else:

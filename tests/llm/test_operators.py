@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import json
 import math
 import re
 import zlib
@@ -357,6 +358,25 @@ def test_token_store(spark, docs, none):
     assert token_store.stored_ids(spark, none, path).count() == 0
 
 
+def test_encoder_follows_the_tokenizer():
+    """Other ways to cut or change a text are the library's; the query's tokenizer stays fast."""
+    from tokenizers import Tokenizer
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        own = json.load(f)
+    level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    digits = {"type": "Sequence", "pretokenizers": [
+        {"type": "Digits", "individual_digits": True}, level]}
+    texts = ["Hello World 2024 and 12345", "", "it's  5 apples\n"]
+    for change in ({}, {"pre_tokenizer": level | {"add_prefix_space": True}},
+                   {"pre_tokenizer": digits}, {"pre_tokenizer": level | {"use_regex": False}},
+                   {"normalizer": {"type": "Lowercase"}}):
+        spec = json.dumps(own | change)
+        lib, encoder = Tokenizer.from_str(spec), token_store.Encoder(spec)
+        assert encoder.plain == (not change)
+        assert [x.tolist() for x in encoder.encode(texts)] == [
+            lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_jaccard_join(docs, none):
     def shingles(t):
         w = words(t)
