@@ -5,10 +5,10 @@ hashes to 0 modulo 48. An anchor depends on its own bytes alone, so equal string
 Every position that can start a repeat belongs to the first anchor at or after it (at most 272 bytes
 on), or, if there is none, is *bare* and compared by itself.
 
-Shards (scan tasks) hold their suffixes as runs per *block* of the merged order: a block is the set
-of suffixes that agree to a depth, and the interleave of the shards is kept as the blocks' labels and
-run lengths, never as a list of all suffixes. It is refined from depth 0 to 128 bytes and then to the
-whole context of an anchor (its positions' strings together); a block with one member left is a
+This replaces the merging of shard Burrows-Wheeler transforms by interleave refinement, which is not
+built: there is no transform, no merged order and no common-prefix value. A *block* is the set of
+suffixes that agree to a depth; it is known by a hash label, and blocks of one label are counted by
+a grouping. Blocks are refined from depth 0 to 128 bytes and then to the whole context of an anchor (its positions' strings together); a block with one member left is a
 suffix whose common prefix with every other ends there, and is dropped. Blocks that stay whole are
 repeated intervals. Where a block splits inside a context, its positions are refined in steps of
 eight and then, at the ends of the repeated intervals only, one by one, to depth 400.
