@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pitchside.llm.decontaminate import OP1_SQL, op1_decontaminate
 from pitchside.llm.embedding_tiles import op6_embedding_tiles
+from pitchside.llm.fill_in_middle import OP12_SQL, op12_fill_in_middle
 from pitchside.llm.gru_lm import op8_gru_lm
 from pitchside.llm.jaccard_join import op10_jaccard_join
 from pitchside.llm.license_scan import op2_license_scan
 from pitchside.llm.line_dedup import op7_line_dedup
 from pitchside.llm.piece_viterbi import op4_piece_viterbi
 from pitchside.llm.repeat_removal import op5_repeat_removal
+from pitchside.llm.token_alignment import op13_token_alignment
 from pitchside.llm.token_store import op9_token_store
 from pitchside.llm.toxicity import op3_toxicity
+from pitchside.llm.url_filter import OP11_SQL, op11_url_filter
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
@@ -24,6 +27,10 @@ QUERIES = {
     "op8_gru_lm": op8_gru_lm,
     "op9_token_store": op9_token_store,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_url_filter": op11_url_filter,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_token_alignment": op13_token_alignment,
 }
 
-ORACLE_SQL = {"op1_decontaminate": OP1_SQL}
+ORACLE_SQL = {"op1_decontaminate": OP1_SQL, "op11_url_filter": OP11_SQL,
+              "op12_fill_in_middle": OP12_SQL}
