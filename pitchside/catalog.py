@@ -6,23 +6,32 @@ the bronze log), over whole tables.
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitchside.functions.payload import endpoint_path, payload_text
 from pitchside.operators import duplicate_keys, latest_per_key, pivot_long, take_ordered
 from pitchside.plans import queue as Q
+from pitchside.plans.incremental import Incremental
 from pitchside.plans.intermediate import int_player_stats, int_team_match_stats
-from pitchside.plans.marts import match_results, team_tournament_profile
+from pitchside.plans.marts import in_gold_order, match_results, team_tournament_profile
 from pitchside.plans.staging import (fixture_rows, latest_fixture_payloads,
                                      latest_fixtures_payloads, stg_fixtures, stg_match_statistics,
                                      stg_player_statistics)
+from pitchside.plans.views import STAGING_VIEWS
 from pitchside.sources import inputs
-from pitchside.sources.bronze import read_raw
+from pitchside.sources.bronze import (append_log, create_bronze, create_log, log_bucket_count,
+                                      log_buckets, publish, publish_view, qualified, read_log)
 from pitchside.sources import schemas as S
-from pitchside.sources.landing import audit, audit_summary, quarantine
-from pitchside.sources.storage import built_path, table_path
+from pitchside.sources.landing import audit, audit_summary, quarantine, tag
+from pitchside.sources.queue_store import SORT as QUEUE_SORT, refused_keys, write_queue
+from pitchside.sources.storage import build_once, built_path, path_exists, path_size, table_path
+from pitchside.sources.tables import (in_file_order, open_bucketed, table_location,
+                                      write_bucketed)
 from pitchside.streaming.landing_stream import (queue_from_outcome_log, read_outcome_log,
                                                 run_landing_stream)
 
@@ -42,9 +51,34 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    int_team_match_stats(stg_match_statistics(raw)))
 
 
+def _queue_buckets(spark: SparkSession, sf_dir: str) -> int:
+    return log_buckets(path_size(spark, f"{sf_dir.rstrip('/')}/orders.parquet"))
+
+
+def _stored_queue(spark: SparkSession, sf_dir: str, name: str,
+                  build: Callable[[], DataFrame]) -> DataFrame:
+    """A committed queue version of ``sf_dir``, in the layout of the queue store."""
+    inputs.landed(spark, sf_dir)                         # also pins the session clock
+    source = [f"{sf_dir.rstrip('/')}/orders.parquet"]
+    layout = ((_queue_buckets(spark, sf_dir), Q.KEYS), QUEUE_SORT)
+    path = build_once(spark, f"queue-{name}", source,
+                      lambda folder: write_bucketed(build(), folder, *layout))
+    table = "pitchside_queue_" + re.sub(r"[^0-9a-zA-Z]+", "_", "_".join(path.rsplit("/", 2)[-2:]))
+    return open_bucketed(spark, table, S.INGESTION_CHECKPOINT, path, *layout)
+
+
+def _prior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_queue(spark, sf_dir, "prior", lambda: inputs.prior_queue(spark, sf_dir))
+
+
 def _seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = inputs.bronze(spark, sf_dir)
-    return Q.seed(inputs.prior_queue(spark, sf_dir), Q.finished_fixtures(raw))
+    return Q.seed(_prior(spark, sf_dir), Q.finished_fixtures(inputs.bronze(spark, sf_dir)),
+                  buckets=_queue_buckets(spark, sf_dir))
+
+
+def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue after seeding, as stored: what claims and batches start from."""
+    return _stored_queue(spark, sf_dir, "seeded", lambda: _seeded(spark, sf_dir))
 
 
 def _all_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,19 +90,25 @@ def _all_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.mark(_seeded(spark, sf_dir), _all_outcomes(spark, sf_dir))
+    return Q.mark(_queue(spark, sf_dir), _all_outcomes(spark, sf_dir),
+                  buckets=_queue_buckets(spark, sf_dir))
+
+
+def _marked_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_queue(spark, sf_dir, "marked", lambda: _marked(spark, sf_dir))
 
 
 def _batch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return Q.backfill_batch(_seeded(spark, sf_dir), inputs.landed(spark, sf_dir), CLAIM_LIMIT,
-                            at=F.lit(BATCH_RUN_AT).cast("timestamp"))
+    return Q.backfill_batch(_queue(spark, sf_dir), inputs.landed(spark, sf_dir), CLAIM_LIMIT,
+                            at=F.lit(BATCH_RUN_AT).cast("timestamp"),
+                            buckets=_queue_buckets(spark, sf_dir))
 
 
 def _requeue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = _marked(spark, sf_dir)
+    marked = _marked_queue(spark, sf_dir)
     failed_stats = marked.filter((F.col("status") == S.FAILED)
                                  & (F.col("endpoint") == S.STATISTICS))
-    return Q.requeue(marked, failed_stats)
+    return Q.requeue(marked, failed_stats, buckets=_queue_buckets(spark, sf_dir))
 
 
 def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,16 +116,114 @@ def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                "league_id", "season")
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The landed payloads replayed through the streaming landing job (several micro-batches);
-    returns (bronze log, outcome log). Re-running is a no-op: the stream checkpoint remembers
-    which files were processed."""
-    inputs.landed(spark, sf_dir)
-    source = built_path(spark, "landed", [f"{sf_dir.rstrip('/')}/orders.parquet"])
-    root = table_path(spark, "landing-stream", [f"{sf_dir.rstrip('/')}/orders.parquet"])
-    run_landing_stream(spark, source, f"{root}/raw", f"{root}/outcomes", f"{root}/_checkpoint",
-                       schema=S.LANDED_AUDITED, max_bytes_per_trigger=STREAM_BYTES_PER_TRIGGER)
-    return read_raw(spark, f"{root}/raw"), read_outcome_log(spark, f"{root}/outcomes")
+def _one_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """One log filled by both producers: the bootstrap appends the season-level payloads, then the
+    landing stream drains the per-fixture ones in several micro-batches. Returns (log, outcome log).
+    Repeating is harmless: the append replaces its own load, and the stream checkpoint remembers which
+    files were processed."""
+    landed = inputs.landed(spark, sf_dir)
+    source = [f"{sf_dir.rstrip('/')}/orders.parquet"]
+    folder, root = built_path(spark, "landed", source), table_path(spark, "landing-log", source)
+    log = "pitchside_log_" + re.sub(r"[^0-9a-zA-Z]+", "_", root.rsplit("pitchside/", 1)[-1])
+    create_log(spark, log, f"{root}/raw_api_responses", log_buckets(path_size(spark, folder)))
+    if not path_exists(spark, f"{root}/raw_api_responses/load_id=bootstrap"):
+        append_log(Q.bootstrap(_prior(spark, sf_dir), landed)["appended"], log, "bootstrap")
+    run_landing_stream(spark, folder, log, f"{root}/outcomes", f"{root}/_checkpoint",
+                       schema=S.LANDED_AUDITED, max_bytes_per_trigger=STREAM_BYTES_PER_TRIGGER,
+                       endpoints=S.CHECKPOINT_ENDPOINTS)
+    return read_log(spark, log), read_outcome_log(spark, f"{root}/outcomes")
+
+
+def _one_log_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _one_log(spark, sf_dir)[0]
+    return team_tournament_profile(fixture_rows(log), int_team_match_stats(stg_match_statistics(log)))
+
+
+def _tag(spark: SparkSession, sf_dir: str) -> str:
+    """A name part that tells input folders (and rebuilt inputs) apart."""
+    path = table_path(spark, "x", [f"{sf_dir.rstrip('/')}/orders.parquet"])
+    return re.sub(r"[^0-9a-zA-Z]+", "_", path.rsplit("pitchside/", 1)[-1])
+
+
+def _bronze_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze namespace made and filled: its tables by qualified name, with their rows."""
+    log = inputs.bronze_table(spark, sf_dir)
+    queue = _queue(spark, sf_dir)
+    database = f"pitchside_bronze_{_tag(spark, sf_dir)}"
+    root = table_path(spark, "bronze-namespace", [f"{sf_dir.rstrip('/')}/orders.parquet"])
+    tables = create_bronze(spark, database, root, log_bucket_count(spark, log),
+                           log_location=table_location(spark, log))
+    write_queue(queue, qualified(database, "ingestion_checkpoint"), _queue_buckets(spark, sf_dir))
+    counts = [spark.table(qualified(database, t)).agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.lit(qualified("bronze", t, "wc_project")).alias("qualified_name"), "n_rows")
+              for t in tables]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+def _silver_view(name: str) -> Query:
+    """A staging view of its layer's database, read by a second session."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        log = inputs.bronze_table(spark, sf_dir)
+        view = publish_view(spark, STAGING_VIEWS[name](log), f" silver_{_tag(spark, sf_dir)} ",
+                            name, "dev")
+        return spark.newSession().table(view)
+    return run
+
+
+def _published_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold table, rebuilt under its readers and read in the order of its files."""
+    table = publish(in_gold_order(gold(spark, sf_dir)), f"gold_{_tag(spark, sf_dir)}",
+                    "gold_team_all_tournaments_profile", "dev")
+    return in_file_order(spark, table)
+
+
+def _refused_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offer every fixture's pairs, and those of finished fixtures once more, to the queue."""
+    raw = inputs.bronze(spark, sf_dir)
+    ids = fixture_rows(raw).select("fixture_id").union(Q.finished_fixtures(raw))
+    return refused_keys(_queue(spark, sf_dir), Q.queue_pairs(ids), _queue_buckets(spark, sf_dir))
+
+
+def _live_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill batch run now; its times are reduced to whether a pair has one."""
+    batch = Q.backfill_batch(_queue(spark, sf_dir), inputs.landed(spark, sf_dir), CLAIM_LIMIT,
+                             buckets=_queue_buckets(spark, sf_dir))
+    return batch["queue"].withColumn("last_attempt_at", F.col("last_attempt_at").isNotNull()
+                                     ).withColumnRenamed("last_attempt_at", "attempted")
+
+
+def _payload_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies that a JSON reader has already parsed, back as the text the log stores."""
+    orders = inputs.table(spark, sf_dir, "orders")
+    body = F.struct(F.col("o_orderkey").alias("id"), F.struct(
+        F.col("o_orderstatus").alias("short"), F.lit(None).cast("string").alias("long"))
+        .alias("status"), F.array(F.col("o_custkey")).alias("teams"))
+    return orders.select("o_orderkey", payload_text(body, is_text=False).alias("raw_payload"))
+
+
+#: The last year of each load of the incremental query's log (all later rows are the last load).
+LOAD_YEARS = (1994, 1996)
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> Incremental:
+    """Three successive loads of one log (by fetch time), applied in turn: the first two once, the
+    last, the load of the day, in every run."""
+    source = [f"{sf_dir.rstrip('/')}/orders.parquet"]
+    root = table_path(spark, "incremental", source)
+    landed = inputs.landed(spark, sf_dir)
+    n = log_buckets(path_size(spark, built_path(spark, "landed", source)))
+    tag_ = _tag(spark, sf_dir)
+    log = create_log(spark, f"pitchside_loads_{tag_}", f"{root}/log", n)
+    year = F.year("ingested_at")
+    late = sum(((year > y).cast("int") for y in LOAD_YEARS), F.lit(0))
+    loads = [f"load-{i}" for i in range(len(LOAD_YEARS) + 1)]
+    models = Incremental(spark, log, f"pitchside_incremental_{tag_}", f"{root}/models", n)
+    for i, load in enumerate(loads):
+        if not path_exists(spark, f"{root}/log/load_id={load}"):
+            append_log(tag(landed).filter(late == i), log, load)
+        if load == loads[-1] or not path_exists(spark, f"{root}/models/fixture_loads/load_id={load}"):
+            models.apply(load)
+    return models
 
 
 def _latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,15 +273,15 @@ QUERIES: dict[str, Query] = {
     # work queue
     "finished_fixtures": lambda s, d: Q.finished_fixtures(inputs.bronze(s, d)),
     "queue_seed": _seeded,
-    "bootstrap_queue": lambda s, d: Q.bootstrap(inputs.prior_queue(s, d), inputs.landed(s, d))["queue"],
+    "bootstrap_queue": lambda s, d: Q.bootstrap(_prior(s, d), inputs.landed(s, d))["queue"],
     "queue_seed_offered": lambda s, d: Q.offered_pairs(Q.finished_fixtures(inputs.bronze(s, d))),
-    "queue_claim": lambda s, d: Q.claim(_seeded(s, d), CLAIM_LIMIT),
-    "queue_claim_pending_only": lambda s, d: Q.claim(_seeded(s, d), CLAIM_LIMIT, (S.PENDING,)),
+    "queue_claim": lambda s, d: Q.claim(_queue(s, d), CLAIM_LIMIT),
+    "queue_claim_pending_only": lambda s, d: Q.claim(_queue(s, d), CLAIM_LIMIT, (S.PENDING,)),
     "queue_mark": _marked,
     "queue_requeue": _requeue,
     "queue_outcomes": lambda s, d: _batch(s, d)["counts"],
     "queue_after_backfill": lambda s, d: _batch(s, d)["queue"],
-    "queue_duplicate_keys": lambda s, d: duplicate_keys(_marked(s, d), Q.KEYS, "n_rows"),
+    "queue_duplicate_keys": lambda s, d: duplicate_keys(_marked_queue(s, d), Q.KEYS, "n_rows"),
     "log_repeated_pairs": lambda s, d: duplicate_keys(
         inputs.bronze(s, d).filter(F.col("endpoint").isin(*S.CHECKPOINT_ENDPOINTS)),
         Q.KEYS, "n_payloads"),
@@ -151,10 +289,27 @@ QUERIES: dict[str, Query] = {
     "payload_audit": lambda s, d: audit_summary(inputs.landed(s, d)),
     "payload_quarantine": lambda s, d: quarantine(inputs.landed(s, d)),
     "tagged_payloads": _tagged,
-    # streaming landing (same answers as the batch path)
-    "stream_tagged_payloads": lambda s, d: _streamed(s, d)[0].select(
+    # one log filled by a batch append and the landing stream (same answers as the batch path)
+    "stream_tagged_payloads": lambda s, d: _one_log(s, d)[0].select(
         "ingested_at", "endpoint", "fixture_id", "league_id", "season"),
-    "stream_queue_mark": lambda s, d: queue_from_outcome_log(_seeded(s, d), _streamed(s, d)[1]),
+    "stream_queue_mark": lambda s, d: queue_from_outcome_log(_queue(s, d), _one_log(s, d)[1]),
+    "one_log_gold": _one_log_gold,
+    # models kept up to date load by load (same answers as the full rebuild)
+    "incremental_gold": lambda s, d: _incremental(s, d).gold(),
+    # layers: views and tables of their databases
+    "bronze_tables": _bronze_tables,
+    "silver_view_fixtures": _silver_view("stg_fixtures"),
+    "silver_view_statistics": _silver_view("stg_match_statistics"),
+    "silver_view_players": _silver_view("stg_player_statistics"),
+    "gold_read_order": _published_gold,
+    # single operators of the landing and the queue
+    "payload_texts": _payload_texts,
+    "queue_endpoint_paths": lambda s, d: _queue(s, d).select(
+        *Q.KEYS, endpoint_path("endpoint").alias("path")),
+    "queue_dry_run": lambda s, d: Q.backfill_batch(
+        _queue(s, d), inputs.landed(s, d), dry_run=True)["claimed"],
+    "queue_live_backfill": _live_batch,
+    "queue_refused_keys": _refused_keys,
     # operator checks straight on driver tables
     "latest_event_per_user": _latest_event_per_user,
     "parse_event_props": _parse_event_props,

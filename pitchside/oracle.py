@@ -11,8 +11,30 @@ before TRY_CAST (DuckDB would round '12.5' where Spark yields NULL).
 
 from __future__ import annotations
 
-from pitchside.catalog import BATCH_RUN_AT, CLAIM_LIMIT, TOP_OPEN_ORDERS
-from pitchside.sources import schemas as S
+
+# Parameters of the registered queries and, as fixed values, the labels, columns and casts of the
+# models: stated here on their own, so that an error in the package's lists cannot hide.
+BATCH_RUN_AT = "2002-01-01 00:00:00"
+CLAIM_LIMIT = 30
+TOP_OPEN_ORDERS = 20
+TEAM_STATS = (
+    ("Shots on Goal", "shots_on_goal", "int"), ("Shots off Goal", "shots_off_goal", "int"),
+    ("Blocked Shots", "blocked_shots", "int"), ("Total Shots", "total_shots", "int"),
+    ("Shots insidebox", "shots_insidebox", "int"), ("Shots outsidebox", "shots_outsidebox", "int"),
+    ("Fouls", "fouls", "int"), ("Yellow Cards", "yellow_cards", "int0"),
+    ("Red Cards", "red_cards", "int0"), ("Corner Kicks", "corner_kicks", "int"),
+    ("Offsides", "offsides", "int0"), ("Goalkeeper Saves", "goalkeeper_saves", "int0"),
+    ("Ball Possession", "ball_possession", "pct"), ("Total passes", "total_passes", "int"),
+    ("Passes accurate", "passes_accurate", "int"), ("Passes %", "passes_percentage", "pct"))
+PLAYER_STATS = (
+    "minutes", "position", "rating", "captain", "substitute", "offsides", "total_shots",
+    "shots_on_target", "goals_total", "goals_conceded", "assists", "saves", "passes_total",
+    "passes_key", "passes_accuracy", "tackles_total", "tackles_blocks", "tackles_interceptions",
+    "duels_total", "duels_won", "dribbles_attempts", "dribbles_success", "dribbles_past",
+    "fouls_drawn", "fouls_committed", "cards_yellow", "cards_red", "penalty_won",
+    "penalty_commited", "penalty_scored", "penalty_missed", "penalty_saved")
+PLAYER_CASTS = {"position": None, "rating": "double", "captain": "boolean",
+                "substitute": "boolean"}
 
 _ENDPOINTS = "(VALUES ('statistics'), ('lineups'), ('players')) AS e(endpoint)"
 
@@ -50,7 +72,7 @@ stg AS (
     FROM fx
 )"""
 
-_LABELS = ", ".join(f"({k}, '{label}')" for k, (label, _, _) in enumerate(S.TEAM_STAT_SPEC))
+_LABELS = ", ".join(f"({k}, '{label}')" for k, (label, _, _) in enumerate(TEAM_STATS))
 
 _STAT_LONG = f"""
 sides AS (
@@ -90,7 +112,7 @@ def _pct(v: str) -> str:
 
 def _team_measures() -> str:
     cols = []
-    for label, name, kind in S.TEAM_STAT_SPEC:
+    for label, name, kind in TEAM_STATS:
         if kind == "int":
             e = _int("stats_value")
         elif kind == "int0":
@@ -161,7 +183,7 @@ def _player_leaves() -> list[tuple[str, str]]:
         "passes_accuracy": "CASE WHEN n % 4 = 0 THEN concat(60 + n, '%') ELSE CAST(60 + n AS VARCHAR) END",
     }
     out, j = [], 0
-    for _, name in S.PLAYER_STAT_COLUMNS:
+    for name in PLAYER_STATS:
         if name in special:
             out.append((name, special[name]))
         else:
@@ -199,7 +221,7 @@ FROM prow
 def _int_players_sql() -> str:
     typed = []
     for name, e in _player_leaves():
-        target = S.PLAYER_CAST_OVERRIDES.get(name, "int")
+        target = PLAYER_CASTS.get(name, "int")
         if target is None:
             typed.append(f"{e} AS {name}")
         elif target == "double":
@@ -290,6 +312,22 @@ def oracle_sql() -> dict[str, str]:
     # The streaming landing job must leave the same log and queue as the batch path.
     q["stream_tagged_payloads"] = q["tagged_payloads"]
     q["stream_queue_mark"] = q["queue_mark"]
+    q["one_log_gold"] = q["team_tournament_profile"]
+    # So do models kept up to date load by load, and the views of a layer.
+    q["incremental_gold"] = q["team_tournament_profile"]
+    q["silver_view_fixtures"] = q["stg_fixtures"]
+    q["silver_view_statistics"] = q["stg_match_statistics"]
+    q["silver_view_players"] = q["stg_player_statistics"]
+    q["gold_read_order"] = f"""
+        WITH g AS ({q["team_tournament_profile"]})
+        SELECT *, row_number() OVER (ORDER BY tournament_name, points_pct DESC, total_wins DESC,
+                                     total_goals DESC, avg_ball_possession DESC NULLS LAST,
+                                     team_id) AS position FROM g"""
+    q["bronze_tables"] = f"""
+        SELECT 'wc_project.bronze.raw_api_responses' AS qualified_name, count(*) AS n_rows
+        FROM ({q["tagged_payloads"]})
+        UNION ALL
+        SELECT 'wc_project.bronze.ingestion_checkpoint', count(*) FROM ({q["queue_seed"]})"""
     # Bootstrapping from the landed payloads seeds exactly what seeding from the log does.
     q["bootstrap_queue"] = q["queue_seed"]
     return q
@@ -340,6 +378,34 @@ def _queries(w: str) -> dict[str, str]:
                         ELSE TIMESTAMP '{BATCH_RUN_AT}' END AS last_attempt_at
             FROM seeded q LEFT JOIN batch b
               ON q.fixture_id = b.fixture_id AND q.endpoint = b.endpoint""",
+        "queue_dry_run": f"""{w}, {_QUEUE}
+            SELECT fixture_id, endpoint, status FROM seeded WHERE status IN ('pending', 'failed')
+            ORDER BY fixture_id, endpoint LIMIT 30""",      # the default budget
+        "queue_live_backfill": f"""{w}, {_QUEUE}, {_BATCH},
+            live AS (
+                SELECT b.fixture_id, b.endpoint,
+                       CASE WHEN q.last_attempt_at IS NULL THEN b.status ELSE 'failed' END AS status
+                FROM batch b JOIN seeded q
+                  ON q.fixture_id = b.fixture_id AND q.endpoint = b.endpoint)
+            SELECT q.fixture_id, q.endpoint, coalesce(b.status, q.status) AS status,
+                   CAST(q.attempts + CASE WHEN b.fixture_id IS NULL THEN 0 ELSE 1 END AS INTEGER)
+                       AS attempts,
+                   b.fixture_id IS NOT NULL OR q.last_attempt_at IS NOT NULL AS attempted
+            FROM seeded q LEFT JOIN live b
+              ON q.fixture_id = b.fixture_id AND q.endpoint = b.endpoint""",
+        "queue_refused_keys": f"""{w}, {_QUEUE}
+            SELECT fixture_id, endpoint, offered, tracked FROM (
+                SELECT f.fixture_id, e.endpoint,
+                       CAST(CASE WHEN f.short = 'NS' THEN 1 ELSE 2 END AS BIGINT) AS offered,
+                       EXISTS (SELECT 1 FROM seeded q WHERE q.fixture_id = f.fixture_id
+                               AND q.endpoint = e.endpoint) AS tracked
+                FROM fx f, {_ENDPOINTS})
+            WHERE offered > 1 OR tracked""",
+        "queue_endpoint_paths": f"""{w}, {_QUEUE}
+            SELECT fixture_id, endpoint, concat('fixtures/', endpoint) AS path FROM seeded""",
+        "payload_texts": """
+            SELECT o_orderkey, concat('{"id":', o_orderkey, ',"status":{"short":"', o_orderstatus,
+                   '","long":null},"teams":[', o_custkey, ']}') AS raw_payload FROM orders""",
         "queue_duplicate_keys": """
             SELECT CAST(0 AS BIGINT) AS fixture_id, '' AS endpoint, CAST(0 AS BIGINT) AS n_rows
             WHERE false""",                     # the key of the queue: no pair twice

@@ -1,7 +1,8 @@
 """The (fixture_id, endpoint) work queue: seed, claim, mark, requeue, and one backfill batch.
 
 Every mutation is a pure ``DataFrame -> DataFrame`` function over the whole queue, so a batch of any
-size is one join; nothing loops over rows on the driver.
+size is one join; nothing loops over rows on the driver. ``buckets`` says that the queue is stored in
+that many buckets of its key (``sources.queue_store``): then only the batch is shuffled.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchside.operators import insert_missing, latest_per_key, take_ordered, upsert_counted
+from pitchside.operators import (flag_matches, insert_missing, latest_per_key, take_ordered,
+                                 upsert_counted)
 from pitchside.plans.staging import latest_fixtures_payloads
 from pitchside.sources import schemas as S
 from pitchside.sources.landing import audit, tag
@@ -48,14 +50,14 @@ def queue_pairs(fixture_ids: DataFrame, endpoints: Sequence[str] = S.CHECKPOINT_
 
 
 def seed(queue: DataFrame, fixture_ids: DataFrame,
-         endpoints: Sequence[str] = S.CHECKPOINT_ENDPOINTS) -> DataFrame:
+         endpoints: Sequence[str] = S.CHECKPOINT_ENDPOINTS, buckets: int | None = None) -> DataFrame:
     """Insert unseen pairs as ``pending`` with 0 attempts and no attempt time; tracked pairs keep
     their state, so seeding twice equals seeding once."""
     return insert_missing(queue, queue_pairs(fixture_ids, endpoints), KEYS, {
         "status": F.lit(S.PENDING),
         "attempts": F.lit(0),
         "last_attempt_at": F.lit(None).cast("timestamp"),
-    })
+    }, buckets)
 
 
 def offered_pairs(fixture_ids: DataFrame,
@@ -84,7 +86,8 @@ def claim(queue: DataFrame, limit: int | None = None,
                         + ["last_attempt_at"] * with_last_attempt)
 
 
-def mark(queue: DataFrame, outcomes: DataFrame, at: Column | None = None) -> DataFrame:
+def mark(queue: DataFrame, outcomes: DataFrame, at: Column | None = None,
+         buckets: int | None = None) -> DataFrame:
     """Apply attempt outcomes ``(fixture_id, endpoint, status[, at])``: a tracked pair takes the
     latest status, its attempts grow by the number of outcomes and its time becomes the latest;
     an untracked pair is inserted with that many attempts."""
@@ -92,14 +95,13 @@ def mark(queue: DataFrame, outcomes: DataFrame, at: Column | None = None) -> Dat
         outcomes = outcomes.withColumn("at", at if at is not None else F.current_timestamp())
     outcomes = outcomes.select(*KEYS, "status", F.col("at").cast("timestamp").alias("at"))
     return upsert_counted(queue, outcomes, KEYS, status_col="status", at_col="at",
-                          count_col="attempts", last_at_col="last_attempt_at")
+                          count_col="attempts", last_at_col="last_attempt_at", buckets=buckets)
 
 
-def requeue(queue: DataFrame, pairs: DataFrame) -> DataFrame:
+def requeue(queue: DataFrame, pairs: DataFrame, buckets: int | None = None) -> DataFrame:
     """Set the listed pairs back to ``pending``; attempts and times are unchanged."""
-    flagged = pairs.select(*KEYS).dropDuplicates(KEYS).withColumn("__requeue", F.lit(True))
-    joined = queue.join(flagged, KEYS, "left")
-    return joined.select(
+    flagged = flag_matches(queue, pairs, KEYS, "__requeue", buckets)
+    return flagged.select(
         *[F.when(F.col("__requeue"), F.lit(S.PENDING)).otherwise(F.col(c)).alias(c)
           if c == "status" else F.col(c) for c in queue.columns])
 
@@ -139,7 +141,8 @@ def outcome_counts(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def bootstrap(queue: DataFrame, landed: DataFrame) -> dict[str, DataFrame]:
+def bootstrap(queue: DataFrame, landed: DataFrame,
+              buckets: int | None = None) -> dict[str, DataFrame]:
     """The bootstrap run: accepted fixtures and standings payloads become bronze rows, and every
     finished fixture of the freshest fixtures payload per league-season is seeded into the queue
     (seeding twice changes nothing, so re-running never resets progress)."""
@@ -149,11 +152,13 @@ def bootstrap(queue: DataFrame, landed: DataFrame) -> dict[str, DataFrame]:
         appended.filter(F.col("endpoint") == S.FIXTURES)
         .filter(F.col("league_id").isNotNull() & F.col("season").isNotNull()),
         ["league_id", "season"], ["ingested_at"], ["raw_payload"])
-    return {"appended": appended, "queue": seed(queue, finished_in_payloads(fixtures))}
+    return {"appended": appended,
+            "queue": seed(queue, finished_in_payloads(fixtures), buckets=buckets)}
 
 
 def backfill_batch(queue: DataFrame, landed: DataFrame, limit: int | None = None,
-                   dry_run: bool = False, at: Column | None = None) -> dict[str, DataFrame]:
+                   dry_run: bool = False, at: Column | None = None,
+                   buckets: int | None = None) -> dict[str, DataFrame]:
     """One budgeted batch: claim -> fetch outcome per pair -> bronze rows to append for the good
     ones -> the queue with every outcome marked. A dry run returns only the claim.
 
@@ -166,7 +171,7 @@ def backfill_batch(queue: DataFrame, landed: DataFrame, limit: int | None = None
     outcomes = attempt_outcomes(claimed, landed, only_new=live)
     good = outcomes.filter(F.col("status") == S.DONE).select(
         "endpoint", "fixture_id", "league_id", "season", "fetched_at", "raw_payload")
-    marked = mark(queue, outcomes.select(*KEYS, "status"), at=at)
+    marked = mark(queue, outcomes.select(*KEYS, "status"), at=at, buckets=buckets)
     claimed = claimed.drop("last_attempt_at")
     return {"claimed": claimed, "outcomes": outcomes, "appended": tag(good), "queue": marked,
             "counts": outcome_counts(outcomes)}

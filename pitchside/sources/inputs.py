@@ -7,23 +7,16 @@ models scan a real log with partition pruning rather than re-deriving JSON text
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
 import re
+import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from pitchside.session import ensure_utc
-from pitchside.sources import schemas as S
 from pitchside.sources import synth
+from pitchside.sources.bronze import append_log, create_log, log_buckets, read_log
 from pitchside.sources.landing import audit, read_landed, tag
-from pitchside.sources.storage import (built_path, materialize_once, path_size,
-                                       register_bucketed)
-
-# Target bytes of one bucket of the log: a bucketed scan reads each bucket in one task, so the
-# bucket count follows the data volume (a fixed value of our sizing policy).
-TARGET_BUCKET_BYTES = 256 * 1024 * 1024
-MIN_BUCKETS, MAX_BUCKETS = 8, 100_000
+from pitchside.sources.storage import build_once, built_path, materialize_once, path_size
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,38 +35,28 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landed(spark, path, audited=True)
 
 
-def bronze_buckets(log_bytes: int) -> int:
-    """Bucket count of the log: enough buckets that one holds about ``TARGET_BUCKET_BYTES`` (a
-    bucket is one scan task). It depends on the data alone, so every session reads the same log."""
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, -(-log_bytes // TARGET_BUCKET_BYTES)))
-
-
-def _bronze_rows(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
-    """Tagged rows laid out for a bucketed write: per-fixture payloads are hash-partitioned on
-    ``fixture_id`` like the buckets (one file per bucket and endpoint); season-level payloads,
-    whose ``fixture_id`` is NULL, keep their own partitioning so no task gathers them all."""
-    rows = tag(landed(spark, sf_dir))
-    per_fixture = rows.filter(F.col("fixture_id").isNotNull()).repartition(buckets, "fixture_id")
-    return per_fixture.unionByName(rows.filter(F.col("fixture_id").isNull()))
-
-
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw payload log: audited, tagged landed bodies (``RAW_API_RESPONSES`` columns),
-    partitioned by endpoint and bucketed by ``fixture_id``.
-
-    Per-fixture models (latest payload per fixture, then the pivot per fixture and team) are keyed
-    on ``fixture_id``, so on the bucketed log they run without any shuffle of payload text.
-    """
+    """The raw payload log: audited, tagged landed bodies, appended to a log table (see
+    ``sources.bronze``) as one load."""
     ensure_utc(spark)
+    return read_log(spark, bronze_table(spark, sf_dir))
+
+
+def bronze_table(spark: SparkSession, sf_dir: str) -> str:
+    """Name of the log table, built by one append if absent."""
     src = f"{sf_dir.rstrip('/')}/orders.parquet"
     landed(spark, sf_dir)
-    n = bronze_buckets(path_size(spark, built_path(spark, "landed", [src])))
-    path = materialize_once(spark, f"raw_api_responses-b{n}", [src],
-                            lambda: _bronze_rows(spark, sf_dir, n),
-                            partition_by=["endpoint"], bucket_by=(n, "fixture_id"))
+    n = log_buckets(path_size(spark, built_path(spark, "landed", [src])))
+
+    def build(location: str) -> None:
+        name = f"pitchside_build_{uuid.uuid4().hex}"
+        create_log(spark, name, location, n)
+        append_log(tag(landed(spark, sf_dir)), name, "landed", tasks=n)
+        spark.sql(f"DROP TABLE {name}")                  # external: the files stay
+
+    path = build_once(spark, f"raw_api_responses-b{n}", [src], build)
     name = "pitchside_raw_" + re.sub(r"[^0-9a-zA-Z]+", "_", "_".join(path.rsplit("/", 2)[-2:]))
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.RAW_API_RESPONSES)
-    return register_bucketed(spark, path, name, columns, ["endpoint"], (n, "fixture_id"))
+    return create_log(spark, name, path, n)
 
 
 def prior_queue(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A fetcher (not part of this package) leaves one body per request. We read those bodies in bulk,
 split them by the envelope's ``errors`` member (bad payloads never reach the log), tag each good one
-by endpoint, and append it to the log.
+by endpoint, and append it to the log (``sources.bronze.append_log``).
 """
 
 from __future__ import annotations
@@ -119,10 +119,3 @@ def tag(landed: DataFrame) -> DataFrame:
         F.when(is_fixtures, F.col("league_id")).cast("int").alias("league_id"),
         F.when(is_fixtures, F.col("season")).cast("int").alias("season"),
     ))
-
-
-def append_raw(bronze_rows: DataFrame, path: str) -> None:
-    """Append to the log (never update or delete), partitioned by endpoint so model filters prune
-    whole directories."""
-    (bronze_rows.select(*S.RAW_API_RESPONSES.fieldNames())
-     .write.mode("append").partitionBy("endpoint").parquet(path))

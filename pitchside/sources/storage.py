@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitchside.session import checkpoint_root
 
 # Bump when a builder's output changes, so stale copies are not reused.
-BUILD_VERSION = 11
+BUILD_VERSION = 12
 
 # Extra path component; a benchmark sets a fresh one to time a cold build.
 BUILD_SCOPE = ""
@@ -69,46 +69,22 @@ def built_path(spark: SparkSession, name: str, inputs: Sequence[str]) -> str | N
     return done[0] if done else None
 
 
-def materialize_once(spark: SparkSession, name: str, inputs: Sequence[str],
-                     build: Callable[[], DataFrame],
-                     partition_by: Sequence[str] = (),
-                     bucket_by: tuple[int, str] | None = None) -> str:
-    """Return the folder of a committed Parquet table, building it first if absent.
-
-    ``bucket_by=(n, column)`` writes Spark buckets (hash of ``column`` mod ``n``, sorted by it),
-    so readers registered with ``register_bucketed`` get joins, windows and aggregations keyed on
-    that column without a shuffle.
-    """
+def build_once(spark: SparkSession, name: str, inputs: Sequence[str],
+               build: Callable[[str], None]) -> str:
+    """Return the folder of a committed table, first having ``build(folder)`` write it if absent."""
     found = built_path(spark, name, inputs)
     if found:
         return found
     attempt = f"{table_path(spark, name, inputs)}/attempt-{uuid.uuid4().hex}"
-    writer = build().write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if bucket_by:
-        n, column = bucket_by
-        staging_name = f"pitchside_build_{uuid.uuid4().hex}"
-        writer.bucketBy(n, column).sortBy(column).option("path", attempt).saveAsTable(staging_name)
-        spark.sql(f"DROP TABLE IF EXISTS {staging_name}")   # external: the files stay
-    else:
-        writer.parquet(attempt)
+    build(attempt)
     found = built_path(spark, name, inputs)
     if not found:
         raise RuntimeError(f"{attempt} was not committed")
     return found
 
 
-def register_bucketed(spark: SparkSession, path: str, name: str, columns: str,
-                      partition_by: Sequence[str], bucket_by: tuple[int, str]) -> DataFrame:
-    """Register a committed bucketed folder as a catalog table (metadata only) and return it.
-    Bucketing lives in the catalog, not in the files, so each session registers the folder once."""
-    if not spark.catalog.tableExists(name):
-        n, column = bucket_by
-        parts = f"PARTITIONED BY ({', '.join(partition_by)}) " if partition_by else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {parts}"
-                  f"CLUSTERED BY ({column}) SORTED BY ({column}) INTO {n} BUCKETS "
-                  f"LOCATION '{path}'")
-        if partition_by:
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-    return spark.table(name)
+def materialize_once(spark: SparkSession, name: str, inputs: Sequence[str],
+                     build: Callable[[], DataFrame], partition_by: Sequence[str] = ()) -> str:
+    """Return the folder of a committed Parquet table, building it first if absent."""
+    return build_once(spark, name, inputs, lambda path: build().write.mode("overwrite")
+                      .partitionBy(*partition_by).parquet(path))

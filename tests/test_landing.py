@@ -2,8 +2,8 @@ import datetime as dt
 import os
 import tempfile
 
-from pitchside.sources.bronze import read_raw, schema_name, qualified
-from pitchside.sources.landing import append_raw, audit_summary, quarantine, read_landed_files, tag
+from pitchside.sources.bronze import append_log, create_log, qualified, read_log, schema_name
+from pitchside.sources.landing import audit_summary, quarantine, read_landed_files, tag
 from pitchside.sources.schemas import LANDED
 from tests.conftest import rows
 
@@ -43,13 +43,14 @@ def test_append_and_read_files_round_trip(spark):
     landed = read_landed_files(spark, os.path.join(root, "in"))
     assert rows(landed.select("endpoint", "fixture_id", "league_id", "season"), "endpoint") == [
         ("fixtures", None, 1, 2022), ("players", 6, None, None), ("statistics", 5, None, None)]
-    log = os.path.join(root, "raw")
-    append_raw(tag(landed), log)
-    append_raw(tag(landed), log)   # append-only: a replay lands twice, dedupe happens downstream
-    raw = read_raw(spark, log)
+    log = create_log(spark, "landed_files_log", os.path.join(root, "raw"), 8)
+    append_log(tag(landed), log, "first")
+    append_log(tag(landed), log, "second")   # append-only: a second load lands beside the first
+    append_log(tag(landed), log, "second")   # a repeated load replaces itself
+    raw = read_log(spark, log)
     assert raw.count() == 4
     assert raw.filter("endpoint = 'statistics'").count() == 2
-    assert os.path.isdir(os.path.join(log, "endpoint=statistics"))
+    assert os.path.isdir(os.path.join(root, "raw", "load_id=first", "endpoint=statistics"))
 
 
 def test_layer_routing():

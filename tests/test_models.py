@@ -53,7 +53,7 @@ def test_statistics_long_and_wide(spark):
     log = bronze(spark, _stats_log(spark))
     long = stg_match_statistics(log)
     # fixture 1: latest payload, 4 + 2 rows; fixture 2: two payloads tie on time, the tiebreak
-    # (greatest text) keeps the two-team one, 2 rows; fixture 4: 1 row.
+    # (longest text) keeps the two-team one, 2 rows; fixture 4: 1 row.
     assert long.count() == 9
     assert rows(long.filter("fixture_id = 2").select("team_id"), "team_id") == [(20,), (30,)]
     wide = int_team_match_stats(long).filter(F.col("fixture_id") == 1)

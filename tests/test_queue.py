@@ -91,19 +91,94 @@ def test_backfill_batch_outcomes(spark):
         (2, "statistics", "failed", 2, AT), (3, "statistics", "pending", 0, None)]
 
 
-def test_versioned_queue_store_round_trip(spark, tmp_path):
-    from pitchside.sources.queue_store import read_queue, write_queue
-    root = str(tmp_path / "queue")
-    assert read_queue(spark, root).count() == 0
-    v1 = write_queue(Q.seed(read_queue(spark, root), _ids(spark, [1, 2])), root)
-    assert v1.endswith("version=0000000001")
+def test_queue_store_round_trip(spark):
+    from pitchside.sources.queue_store import create_queue, read_queue, write_queue
+    table = create_queue(spark, "queue_t.round_trip", 8)
+    assert read_queue(spark, table).count() == 0
+    write_queue(Q.seed(read_queue(spark, table), _ids(spark, [1, 2]), buckets=8), table, 8)
     outcomes = spark.createDataFrame([(1, "players", "done", AT)],
                                      "fixture_id long, endpoint string, status string, at timestamp")
-    v2 = write_queue(Q.mark(read_queue(spark, root), outcomes), root)   # reads v1, writes v2
-    assert v2.endswith("version=0000000002")
-    current = read_queue(spark, root)
+    write_queue(Q.mark(read_queue(spark, table), outcomes, buckets=8), table, 8)
+    current = read_queue(spark, table)
     assert current.count() == 6
     assert rows(current.filter("status = 'done'")) == [(1, "players", "done", 1, AT)]
+    pair = spark.createDataFrame([(1, "players")], "fixture_id long, endpoint string")
+    write_queue(Q.requeue(current, pair, buckets=8), table, 8)
+    assert read_queue(spark, table).filter("status = 'pending'").count() == 6
+
+
+def test_seed_mark_and_requeue_leave_the_queue_in_place(spark):
+    from pitchside.sources.queue_store import read_queue, write_queue
+    table = write_queue(_q(spark, [(i, e, "pending", 0, None) for i in range(40)
+                                   for e in ("players", "lineups")]), "queue_t.in_place", 8)
+    queue = read_queue(spark, table)
+    outcomes = spark.createDataFrame([(1, "players", "done", AT), (99, "players", "failed", AT)],
+                                     "fixture_id long, endpoint string, status string, at timestamp")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                          "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")        # more than the queue's buckets
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as with a large batch
+        for changed in (Q.seed(queue, _ids(spark, [1, 77]), buckets=8),
+                        Q.mark(queue, outcomes, buckets=8), Q.requeue(queue, outcomes, buckets=8)):
+            plan = changed._jdf.queryExecution().executedPlan()
+            for line, above in _scans_with_parents(plan.toString()):
+                if "in_place" in line:
+                    assert "Exchange" not in above, plan.toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def _scans_with_parents(plan):
+    """(scan line, the lines on its path to the root) of a printed plan."""
+    path = []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*|")) if line.strip() else 0
+        path = [(d, t) for d, t in path if d < depth] + [(depth, line)]
+        if "FileScan" in line:
+            yield line, "\n".join(t for _, t in path[:-1])
+
+
+def test_insert_is_refused_under_the_key(spark):
+    from pitchside.sources.queue_store import (DuplicateKeyError, insert_rows, read_queue,
+                                               refused_keys, write_queue)
+    table = write_queue(_q(spark, [(1, "players", "done", 1, T0)]), "queue_t.keyed", 8)
+    before = rows(read_queue(spark, table))
+    for bad in ([(2, "players", "pending", 0, None)] * 2, [(1, "players", "pending", 0, None)],
+                [(None, "players", "pending", 0, None)], [(3, None, "pending", 0, None)]):
+        batch = _q(spark, [*bad, (9, "lineups", "pending", 0, None)])
+        with pytest.raises(DuplicateKeyError):
+            insert_rows(batch, table, 8)
+        assert rows(read_queue(spark, table)) == before              # as it was
+        assert refused_keys(read_queue(spark, table), batch, 8).count() == 1
+    insert_rows(_q(spark, [(9, "lineups", "failed", 2, T0)]), table, 8)
+    assert rows(read_queue(spark, table)) == sorted(
+        [*before, (9, "lineups", "failed", 2, T0)], key=repr)
+
+
+def test_claim_skips_row_groups_of_finished_pairs(spark):
+    """Rows are sorted by status in a bucket, so statistics exclude what a claim cannot take."""
+    import pyarrow.parquet as pq
+
+    from pitchside.sources.queue_store import read_queue, write_queue
+    from pitchside.sources.tables import table_location
+    data = _q(spark, [(i, "players", "pending" if i % 50 == 0 else "done", 1, T0)
+                      for i in range(4000)]).repartition(3)
+    old = spark.sparkContext._jsc.hadoopConfiguration().get("parquet.block.size")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "1024")
+    try:
+        table = write_queue(data, "queue_t.clustered", 8)
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", old or "134217728")
+    files = list(__import__("pathlib").Path(
+        table_location(spark, table).removeprefix("file:")).glob("*.parquet"))
+    groups = [pq.ParquetFile(f).metadata.row_group(i).column(2).statistics
+              for f in files for i in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    needed = [g for g in groups if g.min <= "pending" <= g.max or g.min <= "failed" <= g.max]
+    assert len(groups) >= 16 and len(needed) <= len(groups) // 2
+    claimed = Q.claim(read_queue(spark, table), 5)
+    assert [r.fixture_id for r in claimed.collect()] == [0, 50, 100, 150, 200]
 
 
 def test_endpoint_path_and_payload_text(spark):
@@ -114,17 +189,17 @@ def test_endpoint_path_and_payload_text(spark):
     assert s.select(payload_text(F.col("p"), is_text=False)).collect()[0][0] == '{"a":1,"b":null}'
 
 
-def test_killed_queue_write_blocks_nothing(spark, tmp_path):
-    from pitchside.sources import storage
+def test_failed_queue_write_blocks_nothing(spark):
     from pitchside.sources.queue_store import read_queue, write_queue
-    root = str(tmp_path / "queue")
-    write_queue(Q.seed(read_queue(spark, root), _ids(spark, [1])), root)
-    killed = write_queue(Q.seed(read_queue(spark, root), _ids(spark, [2])), root)
-    p, fs = storage.fs_path(spark, killed + "/_SUCCESS")
-    fs.delete(p, False)
-    assert read_queue(spark, root).count() == 3
-    write_queue(Q.seed(read_queue(spark, root), _ids(spark, [2, 3])), root)
-    assert read_queue(spark, root).count() == 9
+    table = write_queue(Q.seed(_q(spark, []), _ids(spark, [1])), "queue_t.failed_write", 8)
+    broken = read_queue(spark, table).withColumn(
+        "status", F.when(F.col("endpoint") == "players", F.raise_error(F.lit("lost")))
+        .otherwise(F.col("status")))
+    with pytest.raises(Exception, match="lost"):
+        write_queue(broken, table, 8)
+    assert read_queue(spark, table).count() == 3
+    write_queue(Q.seed(read_queue(spark, table), _ids(spark, [2, 3])), table, 8)
+    assert read_queue(spark, table).count() == 9
 
 
 def test_live_batch_counts_only_new_bodies(spark):
