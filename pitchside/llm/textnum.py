@@ -1,8 +1,11 @@
 """Vectorised text arithmetic for tasks: words, word hashes and shingle sets of a batch of texts.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z, judged on UTF-8 bytes (the separators are
-ASCII, so bytes and characters agree). Hashes are 64-bit polynomial prefix sums, then mixed; two
-different shingles of one pair of documents meet with a chance near 2**-64 times their number.
+ASCII, so bytes and characters agree). Hashes of spans are 64-bit polynomial prefix sums. Modulo a power
+of two such sums have colliding pairs of strings whatever the base (the Thue-Morse word and its
+complement, from 1,024 letters on; none of 512), so words longer than ``LONG_WORD`` bytes are hashed
+by another function. Two different shingles of one pair of documents then meet with a chance near 2**-64
+times their number.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import xxhash
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 5          # odd, 5 mod 8: its powers run through a long cycle
@@ -18,6 +22,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes above which a word is not hashed by prefix sums.
+LONG_WORD = 256
 _POW: dict[str, np.ndarray] = {}
 
 
@@ -98,6 +104,8 @@ class Words:
         self.bounds = np.searchsorted(self.start, self.text_start)
         self.sums = prefix_sums(self.buf)
         self.hash = span_hash(self.sums, self.start, self.end)
+        for i in np.flatnonzero(self.end - self.start > LONG_WORD):
+            self.hash[i] = xxhash.xxh3_64_intdigest(self.buf[self.start[i]:self.end[i]])
 
 
 def shingle_sets(w: Words, size: int = 3) -> Iterator[np.ndarray]:
