@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchside.session import checkpoint_root
+from pitchside.sources.storage import fs_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +25,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     executor sees, so a lost executor costs its running tasks only."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more, and let Spark's cleaner remove the
+    shuffle files of finished steps: it does so when the driver collects garbage, which on a driver
+    with a large heap may be long after the disks are full."""
+    for t in tables:
+        path, fs = fs_path(t.sparkSession, t.stored_path)
+        fs.delete(path, True)
+    if tables:
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def ids_and_text(docs: DataFrame) -> DataFrame:
@@ -58,7 +72,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 4
                  .select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                           F.struct(F.col("u"), F.col("m").alias("v")))))
                  .filter("u > v").distinct())
-        e = stored(small, "cc-edges")
+        before, e = e, stored(small, "cc-edges")
+        drop_stored(before)
         state = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == seen:
             break

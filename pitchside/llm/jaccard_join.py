@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitchside.llm.common import components, ids_and_text, stored, table
+from pitchside.llm.common import components, drop_stored, ids_and_text, stored, table
 from pitchside.llm.textnum import U, Words, chunks, distinct, mix, shingle_sets
 
 #: Similarity of a link, as a fraction: 100 * intersection >= 90 * union.
@@ -275,7 +275,9 @@ def confirm(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, size: int, n
     """Candidate pairs down to links: first by wide bitmaps, then by exact intersection."""
     near = stored(bounded(pairs, sketches, num, den), "jaccard-near")
     texts = stored(packed_texts(docs, _ends(near)), "jaccard-texts")
-    return stored(verified(near, texts, size, num, den), "jaccard-links")
+    links = stored(verified(near, texts, size, num, den), "jaccard-links")
+    drop_stored(near, texts)
+    return links
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -298,14 +300,16 @@ def link_classes(docs: DataFrame, size: int = 3, num: int = NUM, den: int = DEN
     same_set = ["n_shingles", "d1", "d2"]
     rep = (every.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same_set)
            .agg(F.min("doc_id").alias("rep")))
-    members = every.select("doc_id", *same_set).join(rep, same_set, "left").select(
+    members = stored(every.select("doc_id", *same_set).join(rep, same_set, "left").select(
         "doc_id", "n_shingles",
-        F.expr("CASE WHEN doc_id IS NOT NULL AND n_shingles > 0 THEN rep END").alias("rep"))
+        F.expr("CASE WHEN doc_id IS NOT NULL AND n_shingles > 0 THEN rep END").alias("rep")),
+        "jaccard-members")
     # Only representatives post: the copies of a set, however many, stay one row.
     one = (every.join(rep.select("rep", *same_set), same_set)
            .filter("doc_id = rep").dropDuplicates(["rep", *same_set])
            .select("rep", F.col("n_shingles").cast("int").alias("n"), *BITS, "heavy", "light"))
     one = stored(one, "jaccard-reps")
+    drop_stored(every)
     posts = (one.select("rep", "n", F.posexplode("heavy").alias("pos", "key"))
              .union(one.select("rep", "n", F.lit(0).alias("pos"), F.explode("light").alias("key"))))
     in_list = Window.partitionBy("key").orderBy("n", "rep")
@@ -314,6 +318,7 @@ def link_classes(docs: DataFrame, size: int = 3, num: int = NUM, den: int = DEN
               .filter("next IS NOT NULL OR before IS NOT NULL").drop("next", "before"))
     # Bitmaps join once the keys of a single set are gone.
     lists = stored(shared.join(one.select("rep", "n", *BITS), ["rep", "n"]), "jaccard-lists")
+    drop_stored(one)
     sketches = stored(wide_sketches(docs, lists.select("rep").distinct(), size),
                       "jaccard-sketches")
     tried = links = label = None
@@ -387,22 +392,24 @@ def keep_one_per_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     null ids, are documents of their own. The smallest doc_id of a class stays, a null one only if
     the class has no other. Texts without words link with nothing but their own copies.
     """
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
-    ids = keyed.select("_key", F.col("doc_id").cast("long").alias("_id"))
-    texts = keyed.select(F.col("_key").alias("doc_id"), "text")
-    classes = jaccard_classes(texts, *STAGE).select(F.col("doc_id").alias("_key"),
-                                                    F.col("component_id").alias("_class"))
-    one = stored(classes.join(ids.distinct(), "_key").groupBy("_class", "_key")
-                 .agg(F.count("*").alias("_rows"),
-                      F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("_at")),
+    # The key lives in a struct beside the row, so that no column of the documents can clash.
+    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64(
+        "doc_id", F.coalesce("text", F.lit(""))).alias("key"))
+    ids = keyed.select("key", F.col("row.doc_id").cast("long").alias("id"))
+    texts = keyed.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text"))
+    classes = jaccard_classes(texts, *STAGE).select(F.col("doc_id").alias("key"),
+                                                    F.col("component_id").alias("class"))
+    one = stored(classes.join(ids.distinct(), "key").groupBy("class", "key")
+                 .agg(F.count("*").alias("rows"),
+                      F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("at")),
                  "jaccard-stage")
-    first = one.groupBy("_class").agg(F.min("_at").alias("_first"))
-    gone = one.join(first, "_class").filter("_at <> _first").select("_key")
-    left = keyed.join(gone, "_key", "left_anti")
+    first = one.groupBy("class").agg(F.min("at").alias("first"))
+    gone = one.join(first, "class").filter("at <> first").select("key")
+    left = keyed.join(gone, "key", "left_anti")
     # Only repeated rows are shuffled with their texts.
-    again = one.filter("_rows > 1").select("_key")
-    single = left.join(again, "_key", "left_semi").dropDuplicates(["_key"])
-    return left.join(again, "_key", "left_anti").unionByName(single).select(*docs.columns)
+    again = one.filter("rows > 1").select("key")
+    single = left.join(again, "key", "left_semi").dropDuplicates(["key"])
+    return left.join(again, "key", "left_anti").unionByName(single).select("row.*")
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

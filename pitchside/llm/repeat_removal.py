@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.llm.common import ids_and_text, stored, table
+from pitchside.llm.common import drop_stored, ids_and_text, stored, table
 from pitchside.llm.jaccard_join import FILTER_BITS, id_filter
 from pitchside.llm.textnum import U, chunks, mix, prefix_sums, span_hash
 
@@ -209,13 +209,17 @@ def split_spans(docs: DataFrame, contexts: DataFrame) -> DataFrame:
         "core long, union long, a int, b int, once boolean, i long, k long"), "repeat-steps")
     # Most steps lie outside repeats: their cores stand once, and they end here.
     cores = steps.groupBy("core").count().filter("count > 1").select("core")
-    steps = stored(bit_filtered(steps, "core", stored(cores, "repeat-cores")), "repeat-steps")
+    cores = stored(cores, "repeat-cores")
+    all_steps, steps = steps, stored(bit_filtered(steps, "core", cores), "repeat-steps")
+    drop_stored(all_steps, cores)
     again = steps.groupBy("core", "union").agg(
         F.count("*").alias("n"), F.bool_or("once").alias("once"),
         F.min(F.struct("i", "k", "a", "b")).alias("one"))
     again = stored(again, "repeat-unions")
-    whole = steps.filter("once").join(again.filter("n > 1").select("core", "union"),
-                                      ["core", "union"]).select("i", "k", "a", "b")
+    whole = stored(steps.filter("once").join(again.filter("n > 1").select("core", "union"),
+                                             ["core", "union"]).select("i", "k", "a", "b"),
+                   "repeat-whole")
+    drop_stored(steps)
     mixed = again.groupBy("core").agg(F.count("*").alias("unions"), F.bool_or(
         F.col("once") & (F.col("n") == 1)).alias("open")).filter("unions > 1 AND open")
     part = stored(again.join(mixed.select("core"), "core").select(
@@ -223,6 +227,7 @@ def split_spans(docs: DataFrame, contexts: DataFrame) -> DataFrame:
     positions = stored(_per_text(texts, part, ["a", "b", "open", "i", "k"], _position_labels,
                                  "label long, p int, open boolean, i long, k long"),
                        "repeat-positions")
+    drop_stored(texts, again, part)
     # Every union has one row here: a label on two rows stands in two different unions.
     twice = positions.groupBy("label").count().filter("count > 1").select("label")
     single = positions.filter("open").join(twice, "label").select("i", "k", F.col("p").alias("a"),
@@ -238,21 +243,26 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     blocks = scanned.select(F.explode("block").alias("block")).groupBy("block").count()
     repeated = stored(blocks.filter("count > 1").select("block"), "repeat-blocks")
     anchors = stored(shared_anchors(scanned, repeated), "repeat-anchors")
+    bare = scanned.filter("size(bare) > 0").select("i", "k",
+                                                   F.inline(F.arrays_zip("bare", "label")))
+    bare_again = bare.groupBy("label").count().filter("count > 1").select("label")
+    bare = stored(bare.join(bare_again, "label").select(
+        "i", "k", F.col("bare").alias("start"), (F.col("bare") + LENGTH).alias("end")),
+        "repeat-bare")
+    drop_stored(scanned, repeated)
     contexts = stored(anchors.groupBy("block", "context").agg(
         F.count("*").alias("n"), F.min(F.struct("i", "k", "lo", "hi", "at")).alias("one")),
         "repeat-contexts")
-    whole = anchors.join(contexts.filter("n > 1").select("block", "context"),
-                         ["block", "context"]).select("i", "k", F.col("lo").alias("start"),
-                                                      (F.col("hi") + LENGTH).alias("end"))
+    whole = stored(anchors.join(contexts.filter("n > 1").select("block", "context"),
+                                ["block", "context"]).select(
+        "i", "k", F.col("lo").alias("start"), (F.col("hi") + LENGTH).alias("end")),
+        "repeat-whole")
+    drop_stored(anchors)
     split = (contexts.groupBy("block").agg(F.count("*").alias("c"), F.min("n").alias("least"))
              .filter("c > 1 AND least = 1").select("block"))
     part = stored(contexts.join(split, "block").select(
         "one.*", (F.col("n") == 1).alias("once")), "repeat-split")
-    bare = scanned.filter("size(bare) > 0").select("i", "k",
-                                                   F.inline(F.arrays_zip("bare", "label")))
-    bare_again = bare.groupBy("label").count().filter("count > 1").select("label")
-    bare = bare.join(bare_again, "label").select("i", "k", F.col("bare").alias("start"),
-                                                 (F.col("bare") + LENGTH).alias("end"))
+    drop_stored(contexts)
     spans = whole.union(split_spans(docs, part)).union(bare)
     return spans.groupBy("i", "k").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 

@@ -469,3 +469,42 @@ def test_pipeline_stage_keeps_one_document_per_class(spark):
     out = jaccard_join.keep_one_per_class(spark, df, "")
     assert out.columns == df.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == expected
+
+
+def thue_morse(bits):
+    """The Thue-Morse word of 2**bits letters and its complement: equal sums modulo 2**64."""
+    word = "a"
+    for _ in range(bits):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_do_not_collide(spark):
+    from pitchside.llm.textnum import Words
+    for bits in range(6, 14):
+        one, other = thue_morse(bits)
+        h = Words([one.encode(), other.encode()]).hash
+        assert h[0] != h[1]
+    one, other = thue_morse(11)
+    df = spark.createDataFrame([(1, f"{one} x y"), (2, f"{other} x y"), (3, f"{one} x y")],
+                               "doc_id long, text string")
+    assert got(jaccard_join.jaccard_classes(df)) == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
+
+
+def test_repeats_of_colliding_words(spark):
+    """Strings of 400 bytes from the family on which power-of-two sums collide."""
+    one, other = thue_morse(9)
+    df = spark.createDataFrame([(1, one), (2, other)], "doc_id long, text string")
+    out = {r.doc_id: r.n_removed for r in repeat_removal.without_repeats(df).collect()}
+    strings = [t[p:p + 400] for t in (one, other) for p in range(len(t) - 399)]
+    assert (len(set(strings)) == len(strings)) == (out == {1: 0, 2: 0})
+
+
+def test_jaccard_stage_keeps_a_clashing_key(spark):
+    names = ("_key", "key", "row", "class", "_class", "at", "first", "rows")
+    df = spark.createDataFrame([(1, "a b c d e f", *range(70, 78)), (2, "a b c d e f", *range(8)),
+                                (3, "x", *range(8)), (3, "x", *range(8))],
+                               "doc_id long, text string, " + ", ".join(f"{n} long" for n in names))
+    out = jaccard_join.keep_one_per_class(spark, df, "")
+    assert out.columns == df.columns
+    assert got(out) == [(1, "a b c d e f", *range(70, 78)), (3, "x", *range(8))]
