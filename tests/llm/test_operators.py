@@ -214,11 +214,11 @@ def test_line_dedup(docs, none):
     first, occ = {}, []
     for i, t in texts:
         for p, line in enumerate(t.split("\n")):
-            n = line.strip(" ").lower()
+            n = line.strip(" \t\r\f\v").lower()
             if n:
                 first.setdefault(n, (i, p))
                 occ.append((i, t, p, n))
-    sets = {n: set(re.findall(line_dedup.SHINGLE, n)) for n in first}
+    sets = {n: {n[k:k + 5] for k in range(max(1, len(n) - 4))} for n in first}
     pairs = [(a, b) for a in sets for b in sets if a < b
              and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
     comp = union(pairs, sets)
@@ -260,6 +260,41 @@ def test_line_dedup_every_position(spark):
     assert line_dedup.dedup_report(df).first().removed == expected
 
 
+def test_blank_lines_of_any_kind_stay(spark):
+    text = "a line\r\n\r\n\t\r\nother line\r\n\r\na line\n\t\n\x0b\x0c\n\n a line \t"
+    df = spark.createDataFrame([(1, text), (2, "\r\n\r\n")], "doc_id long, text string")
+    assert got(line_dedup.dedup_report(df)) == [(1, 10, 2, [5, 9]), (2, 3, 0, [])]
+
+
+def test_line_hashes_of_long_lines_and_pieces(monkeypatch):
+    """Hashing in pieces gives the sets of hashing at once, and sets tell shingles apart."""
+    r = np.random.default_rng(8)
+    norms = ["".join(chr(c) for c in r.integers(97, 123, n)) for n in (5, 1, 400, 4, 900, 30)]
+    norms += ["\U0001F600\U0001F601abc\U0001F602", "ab\u00e9" * 400]
+    whole = [s.copy() for s in line_dedup.shingle_sets(norms)]
+    monkeypatch.setattr(line_dedup, "PIECE", 64)
+    for a, b, n in zip(whole, line_dedup.shingle_sets(norms), norms):
+        assert a.tolist() == b.tolist()
+        assert len(a) == len({n[k:k + 5] for k in range(max(1, len(n) - 4))})
+
+
+def test_lines_of_one_key_over_many_tasks(spark):
+    """Neighbours are found across the ends of tasks, also where one key fills several."""
+    keys = [1] * 400 + [2] + [3] * 3 + [4] * 90
+    rows = spark.createDataFrame([(k, bytes([j // 256, j % 256] * 8)) for j, k in enumerate(keys)],
+                                 "key long, line binary")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pairs = line_dedup.neighbours(rows).collect()
+        comp = union([(p.a, p.b) for p in pairs], [x.line for x in rows.collect()])
+        assert len(pairs) == 399 + 2 + 89
+        assert len(set(comp.values())) == 4
+        assert all(p.a != p.b for p in pairs)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
 def test_gru_lm(docs, none):
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in documents()}
     count = collections.Counter()
