@@ -96,6 +96,30 @@ def test_decontaminate(spark, none):
     assert decontaminate.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_decontaminate_items_without_telling_windows(spark):
+    """Items of names, numbers or few words are found word for word; a name that starts sentences may
+    change like any other."""
+    items = {1: "The Great Gatsby Moby Dick War And Peace Jane Eyre", 2: "What is 2+2?",
+             3: "1 2 3 4 5 6 7 8 9 10",
+             4: "Alice has 12 apples in the old basket. Alice gives 3 apples to the poor neighbour. "
+                "Alice then counts what remains in the old basket."}
+    other = items[4].replace("Alice", "Bob").replace("12", "57").replace("3", "9")
+    rows = [(1, "Some text. " + items[1] + " and more"), (2, "they asked What is 2+2? and left"),
+            (3, "count: 1 2 3 4 5 6 7 8 9 10."), (4, "Read this. " + items[4]), (5, other),
+            (6, other.replace("Bob", "Eve", 1)), (7, "The Great Gatsby met Jane Eyre"),
+            (8, "what is 2+3?"), (9, "1 2 3 4 5 7 8 9 10 11"), (10, ""), (11, "is 2+2"),
+            (12, "It rains. The dog sleeps. The cat sleeps.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = decontaminate.contaminated(df, bench)
+    assert sorted((r.doc_id, r.item_id, r.reparameterised) for r in found.collect()) == [
+        (1, 1, False), (2, 2, False), (3, 3, False), (4, 4, False), (5, 4, True)]
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    con.register("benchmark", bench.toPandas())
+    assert got(found) == sorted(con.execute(decontaminate.OP1_SQL).fetchall(), key=repr)
+
+
 def test_license_scan(spark, docs, none):
     text = "é first.\nLicensed under the Apache License,  Version 9.1. All rights reserved."
     df = spark.createDataFrame([(1, text), (2, "all rights were reserved"), (3, None)],
