@@ -30,15 +30,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def drop_stored(*tables: DataFrame) -> None:
+def drop_stored(*tables: DataFrame | SparkSession) -> None:
     """Delete tables of ``stored`` that nothing reads any more, and let Spark's cleaner remove the
     shuffle files of finished steps: it does so when the driver collects garbage, which on a driver
-    with a large heap may be long after the disks are full."""
+    with a large heap may be long after the disks are full. A session in place of tables asks for that
+    alone."""
     for t in tables:
-        path, fs = fs_path(t.sparkSession, t.stored_path)
-        fs.delete(path, True)
-    if tables:
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
+        spark = t if isinstance(t, SparkSession) else t.sparkSession
+        if t is not spark:
+            path, fs = fs_path(spark, t.stored_path)
+            fs.delete(path, True)
+    spark.sparkContext._jvm.System.gc()
 
 
 def ids_and_text(docs: DataFrame) -> DataFrame:

@@ -305,8 +305,8 @@ def test_line_hashes_of_long_lines_and_pieces(monkeypatch):
 def test_lines_of_one_key_over_many_tasks(spark):
     """Neighbours are found across the ends of tasks, also where one key fills several."""
     keys = [1] * 400 + [2] + [3] * 3 + [4] * 90
-    rows = spark.createDataFrame([(k, bytes([j // 256, j % 256] * 8)) for j, k in enumerate(keys)],
-                                 "key long, line binary")
+    rows = spark.createDataFrame([(k, j * 7919 - 10 ** 6) for j, k in enumerate(keys)],
+                                 "key long, line long")
     old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
