@@ -6,7 +6,8 @@
   A rare token's probability is that of ``rare`` times its smoothed share of the rare counts.
 * Training: each round, every partition runs truncated backpropagation through time over the
   teaching documents that the round takes (one hash residue of all), and the partitions' weights are
-  averaged by the tokens they saw. The rounds take every residue once: all teaching documents teach.
+  averaged by the tokens they saw, in levels of ``FAN_IN``. The rounds take every residue once: all
+  teaching documents teach, whole.
 * Scoring: documents of a run advance in step, longest first; the hidden state is carried from
   window to window, so a score is the log10 likelihood of the complete document.
 """
@@ -19,19 +20,26 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchside.llm.common import ids_and_text, stored, table
+from pitchside.llm.common import drop_stored, ids_and_text, stored, table
 from pitchside.llm.textnum import U, Words, chunks, mix
 
 VOCAB, CLASS_SIZE = 4096, 64
 EMBED = HIDDEN = 16
 #: Rounds of averaged training; each takes the teaching documents of one residue of ROUNDS.
 ROUNDS = 2
-LANES, WINDOW, RATE = 32, 32, 0.01
+LANES, WINDOW = 128, 32
+#: Rate of the first update; after SLOWING updates it has fallen to 0.7 of it, as 1 / sqrt goes on.
+RATE, SLOWING = 0.06, 100
+#: Tokens of the documents that are dealt to lanes at once.
+RUN_TOKENS = 1 << 20
+#: Partitions' weights averaged in one task.
+FAN_IN = 16
 #: Scoring: text bytes of a run, steps of a window, tokens of one softmax slice.
-RUN_BYTES, SCORE_WINDOW, SLICE = 8 << 20, 64, 1 << 16
+RUN_BYTES, SCORE_WINDOW, SLICE = 8 << 20, 64, 1 << 13
 #: Counts of so many frequent tokens are sent to every task (8 MB); the others' counts are joined.
 TABLE = 1 << 19
 #: Label of the end token: no word hashes to it but by chance of 2**-64.
@@ -138,45 +146,56 @@ def start_weights(v: Vocabulary, seed: int = 11) -> Weights:
             "wo": r(classes, HIDDEN, CLASS_SIZE, k=0.1), "bo": bo.astype(np.float32)}
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
 def gru_step(p: Weights, x: np.ndarray, h: np.ndarray):
     """One step; ``x`` are the projected inputs. Returns the new state and what the way back needs."""
     n = HIDDEN
     a = h @ p["u"]
-    zr = _sigmoid(x[:, :2 * n] + a[:, :2 * n])
+    zr = np.tanh((x[:, :2 * n] + a[:, :2 * n]) * 0.5)       # the logistic function by tanh
+    zr += 1
+    zr *= 0.5
     z, r = zr[:, :n], zr[:, n:]
     c = np.tanh(x[:, 2 * n:] + r * a[:, 2 * n:])
     return h + z * (c - h), (z, r, c, a[:, 2 * n:])
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax_parts(x: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log probability of column ``own`` of each row, sums); ``x`` becomes exp(x - row maximum)."""
+    top = x.max(axis=1)
+    x -= top[:, None]
+    got = x[np.arange(len(x)), own]
+    np.exp(x, out=x)
+    sums = x @ np.ones(x.shape[1], dtype=x.dtype)
+    return got - np.log(sums), sums
 
 
-def by_class(target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(class, rows) of the targets' classes."""
+def class_order(target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Rows in order of their targets' classes, and (class, from, to) of each class in that order."""
     c = target // CLASS_SIZE
-    order = np.argsort(c, kind="stable")
-    cut = np.flatnonzero(np.diff(c[order])) + 1
-    for rows in np.split(order, cut):
-        if len(rows):
-            yield int(c[rows[0]]), rows
+    order = np.argsort(c.astype(np.uint16), kind="stable")
+    c = c[order]
+    cuts = [0, *(np.flatnonzero(np.diff(c)) + 1).tolist(), len(c)]
+    return order, [(int(c[a]), a, b) for a, b in zip(cuts[:-1], cuts[1:]) if b > a]
+
+
+def _inner_logits(p: Weights, h: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
+    """Logits within the class, for rows in order of their classes."""
+    x = np.empty((len(h), CLASS_SIZE), dtype=h.dtype)
+    for c, a, b in spans:
+        np.matmul(h[a:b], p["wo"][c], out=x[a:b])
+        x[a:b] += p["bo"][c]
+    return x
 
 
 def token_loglik(p: Weights, h: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log probability of each target given its state."""
+    h = h.astype(p["wc"].dtype, copy=False)
     out = np.empty(len(target))
     for s in range(0, len(target), SLICE):
-        x, t = h[s:s + SLICE], target[s:s + SLICE]
-        got = log_softmax(x @ p["wc"] + p["bc"])[np.arange(len(t)), t // CLASS_SIZE].astype(float)
-        for c, rows in by_class(t):
-            inner = log_softmax(x[rows] @ p["wo"][c] + p["bo"][c])
-            got[rows] += inner[np.arange(len(rows)), t[rows] % CLASS_SIZE]
-        out[s:s + SLICE] = got
+        order, spans = class_order(target[s:s + SLICE])
+        x, t = h[s:s + SLICE][order], target[s:s + SLICE][order]
+        outer, _ = _softmax_parts(x @ p["wc"] + p["bc"], t // CLASS_SIZE)
+        inner, _ = _softmax_parts(_inner_logits(p, x, spans), t % CLASS_SIZE)
+        out[s + order] = outer.astype(float) + inner
     return out
 
 
@@ -184,88 +203,122 @@ def window_gradients(p: Weights, inp: np.ndarray, target: np.ndarray, live: np.n
                      fresh: np.ndarray, h0: np.ndarray) -> tuple[float, Weights, np.ndarray]:
     """Loss, gradients and last state of one window (lanes, steps). ``live`` masks padding, ``fresh``
     marks first tokens of documents, where the state starts from zero."""
-    lanes, steps = inp.shape
-    x = p["emb"][inp] @ p["w"] + p["b"]
-    hs, kept, h = np.empty((steps, lanes, HIDDEN), dtype=np.float32), [], h0
+    inp, target, live, fresh = (np.ascontiguousarray(x.T) for x in (inp, target, live, fresh))
+    steps, lanes = inp.shape
+    kind, n = p["w"].dtype, HIDDEN
+    word = inp.ravel()
+    embedded = p["emb"][word]
+    x = (embedded @ p["w"] + p["b"]).reshape(steps, lanes, 3 * n)
+    goes_on = (~fresh).astype(kind)[:, :, None]
+    before = np.empty((steps, lanes, n), dtype=kind)
+    hs, kept, h = np.empty_like(before), [], h0
     for t in range(steps):
-        h = h * ~fresh[:, t, None]
-        before = h
-        h, cache = gru_step(p, x[:, t], h)
+        np.multiply(h, goes_on[t], out=before[t])
+        h, cache = gru_step(p, x[t], before[t])
         hs[t] = h
-        kept.append((before, cache))
-    flat = hs.transpose(1, 0, 2).reshape(-1, HIDDEN)
+        kept.append(cache)
+    g: Weights = {}
     rows = np.flatnonzero(live.ravel())
-    goal, hr = target.ravel()[rows], flat[rows]
-    g = {k: np.zeros_like(v) for k, v in p.items()}
-    lc = log_softmax(hr @ p["wc"] + p["bc"])
-    loss = -float(lc[np.arange(len(rows)), goal // CLASS_SIZE].sum())
-    dc = np.exp(lc)
-    dc[np.arange(len(rows)), goal // CLASS_SIZE] -= 1
-    g["wc"], g["bc"] = hr.T @ dc, dc.sum(axis=0)
-    dh_rows = dc @ p["wc"].T
-    for c, k in by_class(goal):
-        lo = log_softmax(hr[k] @ p["wo"][c] + p["bo"][c])
-        loss -= float(lo[np.arange(len(k)), goal[k] % CLASS_SIZE].sum())
-        do = np.exp(lo)
-        do[np.arange(len(k)), goal[k] % CLASS_SIZE] -= 1
-        g["wo"][c], g["bo"][c] = hr[k].T @ do, do.sum(axis=0)
-        dh_rows[k] += do @ p["wo"][c].T
-    dflat = np.zeros_like(flat)
-    dflat[rows] = dh_rows
-    dhs = dflat.reshape(lanes, steps, HIDDEN)
-    dh = np.zeros((lanes, HIDDEN), dtype=np.float32)
-    dx = np.empty_like(x)
+    order, spans = class_order(target.ravel()[rows])
+    rows = rows[order]
+    goal, hr = target.ravel()[rows], hs.reshape(-1, n)[rows]
+    at, ones = np.arange(len(rows)), np.ones(len(rows), dtype=kind)
+    d = hr @ p["wc"] + p["bc"]
+    got, sums = _softmax_parts(d, goal // CLASS_SIZE)
+    loss = -float(got.sum(dtype=float))
+    d /= sums[:, None]
+    d[at, goal // CLASS_SIZE] -= 1
+    g["wc"], g["bc"] = hr.T @ d, ones @ d
+    dh_rows = d @ p["wc"].T
+    d = _inner_logits(p, hr, spans)
+    got, sums = _softmax_parts(d, goal % CLASS_SIZE)
+    loss -= float(got.sum(dtype=float))
+    d /= sums[:, None]
+    d[at, goal % CLASS_SIZE] -= 1
+    g["wo"], g["bo"] = np.zeros_like(p["wo"]), np.zeros_like(p["bo"])
+    for c, a, b in spans:
+        np.matmul(hr[a:b].T, d[a:b], out=g["wo"][c])
+        np.matmul(ones[a:b], d[a:b], out=g["bo"][c])
+        dh_rows[a:b] += d[a:b] @ p["wo"][c].T
+    dhs = np.zeros((steps * lanes, n), dtype=kind)
+    dhs[rows] = dh_rows
+    dhs = dhs.reshape(steps, lanes, n)
+    dh = np.zeros((lanes, n), dtype=kind)
+    da, dx = (np.empty((steps, lanes, 3 * n), dtype=kind) for _ in range(2))
+    back = np.ascontiguousarray(p["u"].T)
     for t in range(steps - 1, -1, -1):
-        before, (z, r, c, ac) = kept[t]
-        dh = dh + dhs[:, t]
+        z, r, c, ac = kept[t]
+        dh = dh + dhs[t]
         dn = dh * z * (1 - c * c)
-        dz = dh * (c - before) * z * (1 - z)
-        dr = dn * ac * r * (1 - r)
-        da = np.concatenate((dz, dr, dn * r), axis=1)
-        dx[:, t] = np.concatenate((dz, dr, dn), axis=1)
-        g["u"] += before.T @ da
-        dh = (dh * (1 - z) + da @ p["u"].T) * ~fresh[:, t, None]
-    flat_dx, flat_in = dx.reshape(-1, 3 * HIDDEN), inp.ravel()
-    g["w"] = p["emb"][flat_in].T @ flat_dx
-    g["b"] = flat_dx.sum(axis=0)
-    np.add.at(g["emb"], flat_in, flat_dx @ p["w"].T)
-    return loss, {k: v / max(1, len(rows)) for k, v in g.items()}, h
-
-
-def train_on(p: Weights, docs: list[np.ndarray], end_id: int) -> tuple[Weights, int]:
-    """Truncated backpropagation with Adam over token ids of whole documents (each with its end),
-    dealt to lanes by length; the state is carried across windows."""
-    lanes: list[list[np.ndarray]] = [[] for _ in range(min(LANES, max(1, len(docs))))]
-    load = np.zeros(len(lanes), dtype=np.int64)
-    for d in sorted(docs, key=len, reverse=True):
-        k = int(load.argmin())
-        lanes[k].append(d)
-        load[k] += len(d)
-    length = -(-int(load.max()) // WINDOW) * WINDOW if len(docs) else 0
-    target = np.full((len(lanes), length), end_id, dtype=np.int32)
-    live = np.zeros(target.shape, dtype=bool)
-    fresh = np.zeros(target.shape, dtype=bool)
-    for k, lane in enumerate(lanes):
-        at = 0
-        for d in lane:
-            target[k, at:at + len(d)] = d
-            live[k, at:at + len(d)] = True
-            fresh[k, at] = True
-            at += len(d)
-    inp = np.concatenate((np.full((len(lanes), 1), end_id, dtype=np.int32), target[:, :-1]), axis=1)
-    inp[fresh] = end_id
-    p = {k: v.copy() for k, v in p.items()}
-    m1, m2 = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    h = np.zeros((len(lanes), HIDDEN), dtype=np.float32)
-    for step, s in enumerate(range(0, length, WINDOW), 1):
-        w = slice(s, s + WINDOW)
-        _, g, h = window_gradients(p, inp[:, w], target[:, w], live[:, w], fresh[:, w], h)
+        dx[t, :, :n] = dh * (c - before[t]) * z * (1 - z)
+        dx[t, :, n:2 * n] = dn * ac * r * (1 - r)
+        dx[t, :, 2 * n:] = dn
+        da[t, :, :2 * n] = dx[t, :, :2 * n]
+        da[t, :, 2 * n:] = dn * r
+        dh = (dh * (1 - z) + da[t] @ back) * goes_on[t]
+    dx = dx.reshape(-1, 3 * n)
+    g["u"] = before.reshape(-1, n).T @ da.reshape(-1, 3 * n)
+    g["w"], g["b"] = embedded.T @ dx, dx.sum(axis=0)
+    # Rows of one word are summed side by side; only the window's words change.
+    order = np.argsort(word.astype(np.uint16), kind="stable")
+    first = np.flatnonzero(np.diff(word[order], prepend=-1))
+    g["emb"] = np.zeros_like(p["emb"])
+    g["emb"][word[order[first]]] = np.add.reduceat((dx @ p["w"].T)[order], first, axis=0)
+    for v in g.values():
+        v /= max(1, len(rows))
+    return loss, g, h
+
+
+class Trainer:
+    """Truncated backpropagation with Adam over token ids of whole documents (each with its end). The
+    state is carried across windows; weights and moments are carried from one run of documents to
+    the next, so memory does not grow with the documents seen."""
+
+    def __init__(self, p: Weights, end_id: int):
+        self.p = {k: v.copy() for k, v in p.items()}
+        self.m1, self.m2 = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+        self.end_id, self.steps, self.tokens = end_id, 0, 0
+
+    def update(self, g: Weights) -> None:
+        self.steps += 1
+        rate = RATE / (1 + self.steps / SLOWING) ** 0.5 / (1 - 0.9 ** self.steps)
+        scale = 1 / (1 - 0.99 ** self.steps)
         for k, x in g.items():
+            m1, m2 = self.m1[k], self.m2[k]
             np.clip(x, -1, 1, out=x)
-            m1[k] += 0.1 * (x - m1[k])
-            m2[k] += 0.01 * (x * x - m2[k])
-            p[k] -= RATE * (m1[k] / (1 - 0.9 ** step)) / (np.sqrt(m2[k] / (1 - 0.99 ** step)) + 1e-8)
-    return p, int(live.sum())
+            m1 *= 0.9
+            m1 += 0.1 * x
+            m2 *= 0.99
+            x *= x
+            x *= 0.01
+            m2 += x
+            np.multiply(m2, scale, out=x)
+            np.sqrt(x, out=x)
+            x += 1e-8
+            np.divide(m1, x, out=x)
+            x *= rate
+            self.p[k] -= x
+
+    def learn(self, docs: list[np.ndarray]) -> None:
+        """One pass over the documents: one after the other they make a text that is cut into equal
+        lanes, so every window is full and nothing is padded to the longest. A document that a cut
+        parts goes on in the next lane with the state zero and the token before the cut."""
+        if not docs:
+            return
+        target = np.concatenate(docs)
+        fresh = np.zeros(len(target), dtype=bool)
+        fresh[np.cumsum([0, *map(len, docs[:-1])])] = True
+        inp = np.concatenate(([self.end_id], target[:-1])).astype(target.dtype)     # each ends with it
+        lane = -(-len(target) // LANES)
+        start = np.arange(0, len(target), lane)
+        h = np.zeros((len(start), HIDDEN), dtype=self.p["w"].dtype)
+        for s in range(0, lane, WINDOW):
+            at = start[:, None] + np.arange(s, min(s + WINDOW, lane))
+            live = at < len(target)
+            at[~live] = 0
+            _, g, h = window_gradients(self.p, inp[at], target[at], live, fresh[at] & live, h)
+            self.update(g)
+        self.tokens += len(target)
 
 
 def _dump(p: Weights) -> bytes:
@@ -280,40 +333,53 @@ def _load(b: bytes) -> Weights:
 
 
 def train(docs: DataFrame, v: Vocabulary) -> Weights:
-    """Rounds of local training on every partition, then the average weighted by tokens. Only
-    averages of 16 groups of partitions come to the driver, whatever the number of partitions."""
+    """Rounds of local training on every partition, then the average weighted by tokens. Weights are
+    averaged ``FAN_IN`` at a time, level by level, until so many are left for the driver; every level
+    is stored, so a lost executor does not cost the training again."""
     spark = docs.sparkSession
     p = start_weights(v)
     words = spark.sparkContext.broadcast(v)
     schema = "grp int, n long, weights binary"
     fields = pa.schema([("grp", pa.int32()), ("n", pa.int64()), ("weights", pa.binary())])
+
+    def average(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("grp")
+        return pd.DataFrame([{"grp": int(pdf["grp"].iloc[0]) // FAN_IN, "n": int(pdf["n"].sum()),
+                              "weights": _dump(_mean(pdf["n"], pdf["weights"]))}])
+
     for r in range(ROUNDS):
         model = spark.sparkContext.broadcast(_dump(p))
 
         def local(batches, model=model):
             np.seterr(over="ignore")
-            mine = []
+            trainer, mine, size = Trainer(_load(model.value), words.value.end_id), [], 0
             for batch in batches:
                 for _, texts in chunks(x.as_py() for x in batch.column("text")):
                     labels, bounds = tokens(texts)
                     ids = words.value.ids(labels)
                     mine += np.split(ids, bounds[1:-1])
-            if mine:
-                key = int(mine[0][:64].sum() + len(mine)) % 16
-                new, n = train_on(_load(model.value), mine, words.value.end_id)
+                    size += len(ids)
+                    if size >= RUN_TOKENS:
+                        trainer.learn(mine)
+                        mine, size = [], 0
+            trainer.learn(mine)
+            if trainer.tokens:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key], pa.int32()), pa.array([n]), pa.array([_dump(new)])],
-                    schema=fields)
-
-        def average(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame([{"grp": 0, "n": int(pdf["n"].sum()),
-                                  "weights": _dump(_mean(pdf["n"], pdf["weights"]))}])
+                    [pa.array([TaskContext.get().partitionId()], pa.int32()),
+                     pa.array([trainer.tokens]), pa.array([_dump(trainer.p)])], schema=fields)
 
         took = _round() == r
-        some = docs.filter(_teaches()).filter(took).select("text").mapInArrow(local, schema)
-        parts = some.groupBy("grp").applyInPandas(average, schema).toPandas()
-        if len(parts):
-            p = _mean(parts["n"], parts["weights"])
+        parts = stored(docs.filter(_teaches()).filter(took).select("text")
+                       .mapInArrow(local, schema), "lm-weights")
+        while parts.count() > FAN_IN:
+            fewer = stored(parts.groupBy(F.floor(F.col("grp") / FAN_IN).alias("up"))
+                           .applyInPandas(average, schema), "lm-weights")
+            drop_stored(parts)
+            parts = fewer
+        few = parts.orderBy("grp").toPandas()
+        drop_stored(parts)
+        if len(few):
+            p = _mean(few["n"], few["weights"])
     return p
 
 

@@ -380,6 +380,70 @@ def test_gru_gradients_and_carried_state():
         assert total == pytest.approx(s, rel=1e-4)
 
 
+def test_gru_scores_step_by_step(docs, monkeypatch):
+    """The query's score against one step after the other, rare shares included (texts of up to 3,000
+    words)."""
+    monkeypatch.setattr(gru_lm, "VOCAB", 60)
+    took, made = gru_lm.train, []
+
+    def train(df, v):
+        made.append((v, took(df, v)))
+        return made[0][1]
+    monkeypatch.setattr(gru_lm, "train", train)
+    got = collections.defaultdict(list)
+    for r in gru_lm.lm_scores(docs).collect():
+        got[r.doc_id, r.n_tokens].append(r.score)
+    (v, p), count = made[0], collections.Counter()
+    for i, t in documents():
+        if i is not None and zlib.crc32(str(i).encode()) % 7 != 2:
+            count.update(words(t))
+    rare_floor = math.log10(v.rare_total + v.rare_distinct + 1)
+    n_rare = 0
+    for i, t in documents():
+        if len(words(t)) > 3000:
+            continue
+        labels = gru_lm.tokens([(t or "").encode()])[0]
+        total, h, last = 0.0, np.zeros((1, gru_lm.HIDDEN), np.float32), v.end_id
+        for word, token in zip([*words(t), None], v.ids(labels)):
+            h, _ = gru_lm.gru_step(p, p["emb"][[last]] @ p["w"] + p["b"], h)
+            total += float(gru_lm.token_loglik(p, h, np.array([token]))[0]) / math.log(10)
+            if token == v.rare_id:
+                total += math.log10(count[word] + 1) - rare_floor
+                n_rare += 1
+            last = token
+        assert any(s == pytest.approx(total, rel=1e-4) for s in got[i, len(labels)]), i
+    assert n_rare > 100
+
+
+def test_gru_long_text_trains_in_bounded_memory():
+    """One text of 400,000 tokens among short ones: nothing is padded to its length, all lanes work."""
+    import tracemalloc
+    r = np.random.default_rng(4)
+    v = gru_lm.Vocabulary(np.arange(1, 100, dtype=np.uint64), np.arange(99, 0, -1), 6000, 150)
+    docs = [np.append(r.integers(2, v.size, n), v.end_id).astype(np.int32) for n in (5, 400_000, 0, 7)]
+    trainer = gru_lm.Trainer(gru_lm.start_weights(v), v.end_id)
+    tracemalloc.start()
+    trainer.learn(docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert trainer.tokens == 400_016 and trainer.steps == -(-400_016 // (128 * 32))
+    assert peak < 40 << 20
+
+
+def test_gru_weights_are_averaged_in_levels(spark, monkeypatch):
+    """More partitions than FAN_IN: the levels' average is that of all, weighted by tokens."""
+    monkeypatch.setattr(gru_lm, "FAN_IN", 3)
+    monkeypatch.setattr(gru_lm, "ROUNDS", 1)
+    df = spark.createDataFrame([(i, f"w{i % 9} here") for i in range(120)],
+                               "doc_id long, text string").repartition(20)
+    v = gru_lm.Vocabulary(np.arange(1, 4, dtype=np.uint64), np.array([3, 2, 1]), 600, 300)
+    in_levels = gru_lm.train(df, v)
+    monkeypatch.setattr(gru_lm, "FAN_IN", 1000)
+    at_once = gru_lm.train(df, v)
+    for k in at_once:
+        assert np.allclose(in_levels[k], at_once[k], atol=1e-5)
+
+
 def test_class_factored_softmax_sums_to_one():
     v = gru_lm.Vocabulary(np.arange(1, 80, dtype=np.uint64), np.arange(80, 1, -1), 4000, 100)
     p = gru_lm.start_weights(v)
