@@ -184,5 +184,32 @@ def _lone_tiles(tile):
     return run
 
 
+#: The same rows by comparing all pairs in double precision.
+OP6_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::double[] AS e FROM embeddings),
+whole AS (
+  SELECT vec_id, e, list_max(list_transform(e, lambda x: abs(x))) AS top FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(e, lambda x: x <> 0)) > 0),
+scaled AS (SELECT vec_id, list_transform(e, lambda x: x / top) AS e FROM whole),
+usable AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM scaled),
+links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM usable p JOIN usable q
+  ON p.vec_id <> q.vec_id AND len(p.e) = len(q.e)
+  WHERE list_dot_product(p.e, q.e) >= 0.95 * (p.norm * q.norm)),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+reach AS (
+  SELECT a AS node, b AS seen FROM links
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a),
+low AS (SELECT node, min(seen) AS m FROM reach GROUP BY node),
+named AS (
+  SELECT vec_id, coalesce(n, 0)::bigint AS n_links, coalesce(least(m, vec_id), vec_id) AS component_id
+  FROM v LEFT JOIN degree ON vec_id = a LEFT JOIN low ON vec_id = node)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM named
+"""
+
+
 def op6_embedding_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))

@@ -412,5 +412,33 @@ def keep_one_per_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return left.join(again, "key", "left_anti").unionByName(single).select("row.*")
 
 
+#: The same rows by exact comparison of all pairs that share a shingle.
+OP10_SQL = """
+WITH RECURSIVE split AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                   'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT row, doc_id, CASE WHEN len(w) = 0 THEN []
+         WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 1),
+              lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM split),
+members AS (
+  SELECT DISTINCT doc_id, len(s) AS n, unnest(s) AS g FROM sets WHERE doc_id IS NOT NULL),
+links AS (
+  SELECT p.doc_id AS a, q.doc_id AS b FROM members p JOIN members q USING (g)
+  WHERE p.doc_id <> q.doc_id GROUP BY p.doc_id, q.doc_id, p.n, q.n
+  HAVING 100 * count(*) >= 90 * (p.n + q.n - count(*))),
+reach AS (
+  SELECT a AS node, b AS seen FROM links
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a),
+low AS (SELECT node, min(seen) AS m FROM reach GROUP BY node)
+SELECT doc_id, len(s)::bigint AS n_shingles, coalesce(least(m, doc_id), doc_id) AS component_id
+FROM sets LEFT JOIN low ON doc_id = node
+"""
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"))

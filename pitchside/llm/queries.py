@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from pitchside.llm.decontaminate import OP1_SQL, op1_decontaminate
-from pitchside.llm.embedding_tiles import op6_embedding_tiles
+from pitchside.llm.embedding_tiles import OP6_SQL, op6_embedding_tiles
 from pitchside.llm.fill_in_middle import OP12_SQL, op12_fill_in_middle
 from pitchside.llm.gru_lm import op8_gru_lm
-from pitchside.llm.jaccard_join import op10_jaccard_join
+from pitchside.llm.jaccard_join import OP10_SQL, op10_jaccard_join
 from pitchside.llm.license_scan import op2_license_scan
 from pitchside.llm.line_dedup import op7_line_dedup
 from pitchside.llm.piece_viterbi import op4_piece_viterbi
-from pitchside.llm.repeat_removal import op5_repeat_removal
+from pitchside.llm.repeat_removal import OP5_SQL, op5_repeat_removal
 from pitchside.llm.token_alignment import op13_token_alignment
 from pitchside.llm.token_store import op9_token_store
 from pitchside.llm.toxicity import op3_toxicity
@@ -32,5 +32,6 @@ QUERIES = {
     "op13_token_alignment": op13_token_alignment,
 }
 
-ORACLE_SQL = {"op1_decontaminate": OP1_SQL, "op11_url_filter": OP11_SQL,
-              "op12_fill_in_middle": OP12_SQL}
+ORACLE_SQL = {"op1_decontaminate": OP1_SQL, "op5_repeat_removal": OP5_SQL,
+              "op6_embedding_tiles": OP6_SQL, "op10_jaccard_join": OP10_SQL,
+              "op11_url_filter": OP11_SQL, "op12_fill_in_middle": OP12_SQL}

@@ -340,5 +340,35 @@ def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
              + ", kept binary" * with_text)
 
 
+#: The same rows by grouping every 400-byte string.
+OP5_SQL = """
+WITH raw AS (
+  SELECT row_number() OVER () AS row, doc_id, h, copies FROM (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, count(*) AS copies FROM documents
+    GROUP BY ALL)),
+starts AS (
+  SELECT row, unnest(range(0, len(h) // 2 - 399)) AS pos, h FROM raw),
+keyed AS (SELECT row, pos, md5(substring(h, 2 * pos + 1, 800)) AS m FROM starts),
+hits AS (
+  SELECT row, pos FROM (SELECT row, pos, count(*) OVER (PARTITION BY m) AS c FROM keyed) WHERE c > 1),
+cuts AS (
+  SELECT row, pos, CASE WHEN pos <= lag(pos) OVER w + 400 THEN 0 ELSE 1 END AS new FROM hits
+  WINDOW w AS (PARTITION BY row ORDER BY pos)),
+spans AS (
+  SELECT row, min(pos) AS s, max(pos) + 400 AS e FROM (
+    SELECT row, pos, sum(new) OVER (PARTITION BY row ORDER BY pos) AS k FROM cuts) GROUP BY row, k),
+gaps AS (
+  SELECT row, s, e, lag(e, 1, 0) OVER (PARTITION BY row ORDER BY s) AS begin FROM spans),
+cut AS (
+  SELECT g.row, sum(e - s)::bigint AS removed, count(*) AS n,
+         string_agg(h[2 * begin + 1:2 * s], '' ORDER BY s) AS head, max(e) AS last
+  FROM gaps g JOIN raw USING (row) GROUP BY g.row)
+SELECT doc_id, (len(h) // 2)::bigint AS n_bytes, coalesce(removed, 0)::bigint AS n_removed,
+       coalesce(n, 0)::bigint AS n_spans,
+       sha256(unhex(CASE WHEN n IS NULL THEN h ELSE head || h[2 * last + 1:] END)) AS kept_sha256
+FROM (SELECT *, unnest(range(copies)) FROM raw) LEFT JOIN cut USING (row)
+"""
+
+
 def op5_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"))

@@ -54,6 +54,14 @@ def none(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+def by_sql(sql):
+    """Rows of DuckDB SQL over the same documents."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", documents())
+    return sorted(con.execute(sql).fetchall(), key=repr)
+
+
 def words(t):
     return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
 
@@ -194,6 +202,7 @@ def test_repeat_removal(docs, none):
         kept = np.frombuffer(t, np.uint8)[keep].tobytes()
         expected.append((i, len(t), int((~keep).sum()), runs, hashlib.sha256(kept).hexdigest()))
     assert got(repeat_removal.without_repeats(docs)) == sorted(expected, key=repr)
+    assert by_sql(repeat_removal.OP5_SQL) == sorted(expected, key=repr)
     assert repeat_removal.without_repeats(none).count() == 0
 
 
@@ -223,6 +232,11 @@ def test_embedding_tiles(spark):
         for i in (100, 101, 102, 103, 104, 107):
             assert (out[i].n_links, out[i].component_id) == (0, i)
     assert embedding_tiles.near_vectors(df.limit(0)).count() == 0
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", [r[:2] for r in rows if r[0] is not None])
+    for i, n, c, kept in con.execute(embedding_tiles.OP6_SQL).fetchall():
+        assert (n, c, kept) == (*expected.get(i, (0, i)), c == i)
 
 
 def test_quantisation_bound_holds():
@@ -511,6 +525,7 @@ def test_jaccard_join(docs, none):
     comp = union(pairs, sets)
     expected = [(i, len(shingles(t)), comp[i] if i is not None else None) for i, t in documents()]
     assert got(jaccard_join.jaccard_classes(docs)) == sorted(expected, key=repr)
+    assert by_sql(jaccard_join.OP10_SQL) == sorted(expected, key=repr)
     assert jaccard_join.jaccard_classes(none).count() == 0
 
 
