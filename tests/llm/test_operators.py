@@ -165,6 +165,30 @@ def test_toxicity(spark, docs, none):
     assert toxicity.toxicity_scores(spark, none, lab).count() == 0
 
 
+def test_toxicity_score_is_that_of_the_text_alone():
+    """Whatever stands beside a text in its run, one slow pass over its own windows gives its logit."""
+    r = np.random.default_rng(9)
+    m = toxicity.Model(r.normal(size=(toxicity.BUCKETS, toxicity.DIM)).astype(np.float32),
+                       r.normal(size=(toxicity.DIM, sum(toxicity.WIDTHS) * toxicity.FILTERS))
+                       .astype(np.float32),
+                       r.normal(size=len(toxicity.WIDTHS) * toxicity.FILTERS).astype(np.float32),
+                       r.normal(size=len(toxicity.WIDTHS) * toxicity.FILTERS).astype(np.float32), 0.3)
+    m.embed[0] = 0
+    texts = [b"", b"one", b"", b"two words", prose(30, 1).encode(), b"x y z", b""]
+    together = m.logits(toxicity.Tokens(texts))
+    for text, got_logit in zip(texts, together):
+        rows = m.vectors(toxicity.Tokens([text]).ids)[:-toxicity.PAD]
+        rows = np.vstack([rows, np.zeros((2 * toxicity.PAD, toxicity.DIM))])
+        pooled, at = [], 0
+        for width in toxicity.WIDTHS:
+            conv = m.conv[:, at:at + width * toxicity.FILTERS].reshape(toxicity.DIM, width, -1)
+            at += width * toxicity.FILTERS
+            pooled.append(np.max([sum(rows[s + j] @ conv[:, j] for j in range(width))
+                                  for s in range(len(rows) - toxicity.PAD)], axis=0))
+        slow = np.maximum(np.concatenate(pooled) + m.bias, 0) @ m.out + m.out_bias
+        assert got_logit == pytest.approx(slow, rel=1e-3, abs=1e-3)
+
+
 def test_piece_viterbi(spark, docs, none):
     path = P.path("piece_bpe_32k.model")
     m = piece_viterbi.read_model(path)
