@@ -38,8 +38,8 @@ RATE, SLOWING = 0.06, 100
 RUN_TOKENS = 1 << 20
 #: Partitions' weights averaged in one task.
 FAN_IN = 16
-#: Scoring: text bytes of a run, steps of a window, tokens of one softmax slice.
-RUN_BYTES, SCORE_WINDOW, SLICE = 8 << 20, 64, 1 << 13
+#: Scoring: text bytes of a run, most steps and tokens of a window, tokens of one softmax slice.
+RUN_BYTES, SCORE_STEPS, SCORE_TOKENS, SLICE = 32 << 20, 4096, 1 << 16, 1 << 13
 #: Counts of so many frequent tokens are sent to every task (8 MB); the others' counts are joined.
 TABLE = 1 << 19
 #: Label of the end token: no word hashes to it but by chance of 2**-64.
@@ -402,18 +402,23 @@ def document_loglik(p: Weights, docs: list[np.ndarray], end_id: int) -> np.ndarr
     x_of = p["emb"] @ p["w"] + p["b"]
     h = np.zeros((len(docs), HIDDEN), dtype=np.float32)
     previous = np.full(len(docs), end_id, dtype=np.int32)
-    for s in range(0, int(n[0]) if len(n) else 0, SCORE_WINDOW):
-        states, targets, owner = [], [], []
-        for t in range(s, min(s + SCORE_WINDOW, int(n[0]))):
-            k = int(np.searchsorted(-n, -t))        # documents longer than t come first
-            h = h[:k]
-            h, _ = gru_step(p, x_of[previous[:k]], h)
-            previous = flat[first[:k] + t]
-            states.append(h)
-            targets.append(previous)
-            owner.append(np.arange(k))
-        got = token_loglik(p, np.concatenate(states), np.concatenate(targets))
-        total += np.bincount(np.concatenate(owner), weights=got, minlength=len(docs))
+    longest = int(n[0]) if len(n) else 0
+    states, targets, alive = [], [], []
+    held = 0
+    for t in range(longest):
+        k = int(np.searchsorted(-n, -t))        # documents longer than t come first
+        h, _ = gru_step(p, x_of[previous[:k]], h[:k])
+        previous = flat[first[:k] + t]
+        states.append(h)
+        targets.append(previous)
+        alive.append(k)
+        held += k
+        if held >= SCORE_TOKENS or len(states) == SCORE_STEPS or t == longest - 1:
+            got = token_loglik(p, np.concatenate(states), np.concatenate(targets))
+            owner = np.concatenate([np.arange(k) for k in alive])
+            total += np.bincount(owner, weights=got, minlength=len(docs))
+            states, targets, alive = [], [], []
+            held = 0
     out = np.empty(len(docs))
     out[order] = total
     return out

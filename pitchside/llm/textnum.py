@@ -66,7 +66,7 @@ def span_hash(s: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return (s[end] - s[start]) * inv[start]
 
 
-def chunks(texts: Iterable[str | None], max_bytes: int = 2 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def chunks(texts: Iterable[str | None], max_bytes: int = 1 << 19) -> Iterator[tuple[int, list[bytes]]]:
     """(index of the first text, encoded texts) in runs of about ``max_bytes``; a longer text
     stands alone, whole."""
     run: list[bytes] = []
