@@ -1,5 +1,7 @@
+import json
 import os
 import tempfile
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 from pitchside.sources import inputs, synth
 from pitchside.sources.bronze import append_log, create_log, log_buckets, read_log
 from pitchside.sources.landing import audit, tag
-from pitchside.sources.schemas import PLAYERS, STATISTICS
+from pitchside.sources.schemas import FIXTURES, PLAYERS, STANDINGS, STATISTICS
 from pitchside.sources.storage import path_size, table_path
 
 
@@ -42,6 +44,41 @@ def test_payloads_are_made_in_many_tasks_and_not_stored(spark, orders_dir):
     assert path_size(spark, table_path(spark, "landed", source)) == 0
 
 
+def test_season_payloads_move_narrow_rows_once(spark, orders_dir):
+    """Season payloads are gathered from narrow rows dealt by league-season: one exchange, no elements."""
+    landed = synth.landed_from_orders(
+        spark.read.parquet(os.path.join(orders_dir, "orders.parquet")), 8)
+    for endpoint in (FIXTURES, STANDINGS):
+        plan = _plan(landed.filter(F.col("endpoint") == endpoint)).split("== Initial Plan ==")[0]
+        moved = [line for line in plan.splitlines() if "Exchange" in line]
+        assert len(moved) == 1 and "REPARTITION_BY_NUM" in moved[0]
+
+
+def test_fixtures_payloads_hold_every_fixture(spark, orders_dir):
+    """Each league-season has its fixtures, repeated and NULL ids too, in order, with a copy whose goals
+    are 99 and, where the rule says so, the fixture without an id."""
+    facts = synth.fixture_facts(spark.read.parquet(os.path.join(orders_dir, "orders.parquet")))
+    want = {}
+    for r in facts.collect():
+        want.setdefault((r.league_id, r.season), []).append(r)
+    got = synth.fixtures_payloads(facts).collect()
+    assert len(got) == 2 * len(want) and len({(r.league_id, r.season, r.fetched_at) for r in got}) == len(got)
+    for row in got:
+        rows = want[row.league_id, row.season]
+        stale = row.fetched_at < max(r.played_at for r in rows) + timedelta(hours=24)
+        body = json.loads(row.raw_payload)
+        ids = [e["fixture"]["id"] for e in body["response"]]
+        extra = row.league_id is not None and (row.league_id + row.season) % 7 == 0
+        assert ids == sorted([r.fixture_id for r in rows] + [None] * extra,
+                             key=lambda k: (k is not None, k or 0))
+        assert body["results"] == len(ids)
+        assert sum(e["fixture"]["status"]["short"] == "TBD" for e in body["response"]) == extra
+        goals = [(99, 99)] * len(ids) if stale else sorted(
+            [(r.home_goals, r.away_goals) for r in rows] + [(None, None)] * extra, key=str)
+        found = [(e["goals"]["home"], e["goals"]["away"]) for e in body["response"]]
+        assert (found if stale else sorted(found, key=str)) == goals
+
+
 def test_audited_rows_are_parsed_once(spark, orders_dir):
     kept = tag(inputs.landed(spark, orders_dir)).filter(F.col("endpoint") == STATISTICS)
     assert _plan(kept).split("== Initial Plan ==")[0].count("from_json(") == 1
