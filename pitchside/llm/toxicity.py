@@ -220,14 +220,41 @@ def _state(m: Model, acc: dict[str, np.ndarray]) -> np.ndarray:
                       _rows(acc["embed"], acc["conv"], acc["bias"], acc["out"], 0.0)])
 
 
-def _from_state(state: np.ndarray) -> tuple[Model, dict[str, np.ndarray]]:
-    def split(rows):
-        flat, n = rows[BUCKETS:].ravel(), DIM * sum(WIDTHS) * FILTERS
+def _from_rows(used: np.ndarray, state: np.ndarray) -> tuple[Model, dict[str, np.ndarray]]:
+    """The model and its sums of squares from the rows ``used`` of a state, in ascending order and with
+    all small weights; other rows of the embedding, which no document looks up, are zeros."""
+    n = len(used) - _SMALL
+
+    def split(of):
+        embed = np.zeros((BUCKETS, DIM), dtype=np.float32)
+        embed[used[:n]] = state[:n, of]
+        flat, conv = state[n:, of].ravel(), DIM * sum(WIDTHS) * FILTERS
         f = len(WIDTHS) * FILTERS
-        return (rows[:BUCKETS].copy(), flat[:n].reshape(DIM, -1).copy(), flat[n:n + f].copy(),
-                flat[n + f:n + 2 * f].copy(), float(flat[n + 2 * f]))
-    squares = split(state[:, DIM:])
-    return Model(*split(state[:, :DIM])), dict(zip(("embed", "conv", "bias", "out"), squares))
+        return (embed, flat[:conv].reshape(DIM, -1).copy(), flat[conv:conv + f].copy(),
+                flat[conv + f:conv + 2 * f].copy(), float(flat[conv + 2 * f]))
+    squares = split(slice(DIM, None))
+    return Model(*split(slice(DIM))), dict(zip(("embed", "conv", "bias", "out"), squares))
+
+
+#: Rows of weights compared at a time.
+_RUN = 1 << 14
+
+
+def _changes(m: Model, acc: dict[str, np.ndarray], used: np.ndarray, state: np.ndarray):
+    """(rows, changes) of the rows ``used`` that differ from ``state``, in runs: a task never holds a
+    second copy of all weights."""
+    n = len(used) - _SMALL
+    none = np.empty((0, DIM), dtype=np.float32)
+    small = np.hstack([_rows(none, m.conv, m.bias, m.out, m.out_bias),
+                       _rows(none, acc["conv"], acc["bias"], acc["out"], 0.0)])
+    for s in range(0, n + 1, _RUN):
+        row = used[s:min(s + _RUN, n)]
+        now = np.hstack([m.embed[row], acc["embed"][row]])
+        if s + _RUN > n:
+            row, now = used[s:], np.concatenate([now, small])
+        change = now - state[s:s + len(row)]
+        live = np.flatnonzero(change.any(axis=1))
+        yield row[live], change[live]
 
 
 def best_thresholds(scored: DataFrame) -> dict[int, float]:
@@ -301,7 +328,14 @@ def _teaching_tokens(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int
 
 
 def _buckets(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_py(), dtype=np.int32).reshape(-1, 3) for x in column]
+    """Token buckets of each document, read where Arrow holds them."""
+    _, offsets, data = column.buffers()
+    if data is None:
+        return [np.empty((0, 3), dtype=np.int32)] * len(column)
+    wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(offsets, dtype=wide)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(data, dtype=np.uint8)
+    return [data[s:e].view(np.int32).reshape(-1, 3) for s, e in zip(ends, ends[1:])]
 
 
 def _document_counts(taught: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -327,13 +361,6 @@ def _document_counts(taught: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found[:, :, :BUCKETS], found[:, :, BUCKETS]
 
 
-def _whole(rows: np.ndarray, state: np.ndarray) -> np.ndarray:
-    """A state from some of its rows; the others, which no document looks up, are zeros."""
-    out = np.zeros((BUCKETS + _SMALL, state.shape[1]), dtype=np.float32)
-    out[rows] = state
-    return out
-
-
 def _epochs(spark: SparkSession, taught: DataFrame, used: np.ndarray, states: list[np.ndarray],
             documents: list[np.ndarray], first: int, epochs: int) -> None:
     """Train the models on each part and move ``states`` by the mean change of each row over the parts
@@ -344,7 +371,7 @@ def _epochs(spark: SparkSession, taught: DataFrame, used: np.ndarray, states: li
     sent = spark.sparkContext.broadcast(([state[used] for state in states], documents, used))
 
     def learn(part, rows):
-        ids = _buckets(pa.chunked_array([b["ids"] for b in rows]))
+        ids = [x for b in rows for x in _buckets(b["ids"])]
         y = np.concatenate([b["toxic"].to_numpy() for b in rows]).astype(np.int64)
         fold = np.concatenate([b["fold"].to_numpy() for b in rows])
         states, documents, used = sent.value
@@ -352,14 +379,13 @@ def _epochs(spark: SparkSession, taught: DataFrame, used: np.ndarray, states: li
             use = np.flatnonzero(fold != k)
             if not n.all() or not len(use):
                 continue
-            m, acc = _from_state(_whole(used, state))
+            m, acc = _from_rows(used, state)
             train(m, acc, [ids[i] for i in use], y[use], n,
                   np.random.default_rng([7, k, part, first]), epochs)
-            change = _state(m, acc)[used] - state
-            row = np.flatnonzero(change.any(axis=1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(row), k), pa.int32()), pa.array(used[row], pa.int32()),
-                 *[pa.array(c) for c in np.ascontiguousarray(change[row].T)]], schema=schema)
+            for row, change in _changes(m, acc, used, state):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(row), k), pa.int32()), pa.array(row, pa.int32()),
+                     *[pa.array(c) for c in np.ascontiguousarray(change.T)]], schema=schema)
 
     def run(batches):
         part, rows = None, []                    # a part is in one file, its rows together
@@ -402,14 +428,14 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
         # A single part is its own mean: its epochs need not meet in between.
         for first in range(0, EPOCHS, EPOCHS if parts == 1 else 1):
             _epochs(spark, taught, used, states, counts, first, EPOCHS if parts == 1 else 1)
-    model = _from_state(states[FOLDS])[0]
+    model = _from_rows(np.arange(BUCKETS + _SMALL), states[FOLDS])[0]
     if all(n.all() for n in counts):
         judges = spark.sparkContext.broadcast(([state[used] for state in states[:FOLDS]], used))
         schema = pa.schema([("lang", pa.int32()), ("z", pa.float64()), ("toxic", pa.int32())])
 
         def judge(batches):
             states, used = judges.value
-            models = [_from_state(_whole(used, state))[0] for state in states]
+            models = [_from_rows(used, state)[0] for state in states]
             for batch in batches:
                 z = [models[f].logits(_One(ids))[0]
                      for f, ids in zip(batch["fold"].to_numpy(), _buckets(batch["ids"]))]
