@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitchside.llm.common import drop_stored, stored, table
+from pitchside.llm.common import drop_stored, small_batches, stored, table
 from pitchside.llm.textnum import U, Words, chunks, mix, span_hash
 
 #: Text of the labelled documents that one task trains on.
@@ -386,6 +386,7 @@ def _epochs(spark: SparkSession, taught: DataFrame, used: np.ndarray, states: li
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(row), k), pa.int32()), pa.array(row, pa.int32()),
                      *[pa.array(c) for c in np.ascontiguousarray(change.T)]], schema=schema)
+            m = acc = None                       # before the next model takes its place
 
     def run(batches):
         part, rows = None, []                    # a part is in one file, its rows together
@@ -417,6 +418,11 @@ def _epochs(spark: SparkSession, taught: DataFrame, used: np.ndarray, states: li
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     """Train and calibrate on every labelled document that may teach (see the top)."""
+    with small_batches(spark):                   # rows of token buckets are wide
+        return _fit(spark, docs, labels)
+
+
+def _fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     taught, parts = _teaching_tokens(docs, labels)
     with_bucket, documents = _document_counts(taught)
     learns = [[f for f in range(FOLDS) if f != k] for k in range(FOLDS + 1)]
