@@ -65,3 +65,13 @@ def test_exact_avg_keeps_every_value(spark):
     got = dict(spark.createDataFrame(rows_, "k string, v double").groupBy("k")
                .agg(*average_parts("v")).groupBy("k").agg(exact_avg("v")).collect())
     assert got == {"a": 0.5, "b": 5000.06, "c": float("inf"), "d": 1e25, "e": None}
+
+
+def test_text_chars_is_length(spark):
+    from pitchside.functions.payload import _COPIED, text_chars
+    texts = ["", "abc", "caf\u00e9", "\u00e9", "\u20ac5", "\U0001f600", "a\U0001f600\u00e9", "a" * _COPIED,
+             "a" * (_COPIED + 1), "\u00e9" * _COPIED, None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select("i", text_chars("t").alias("n")).orderBy("i").collect()
+    assert [r.n for r in got] == [None if t is None else len(t) for t in texts]
+    assert got[0].n == 0 and df.select(text_chars("t")).schema[0].dataType.simpleString() == "int"
