@@ -460,6 +460,34 @@ def test_line_hashes_of_long_lines_and_pieces(monkeypatch):
         assert len(a) == len({n[k:k + 5] for k in range(max(1, len(n) - 4))})
 
 
+def test_keys_of_two_lines_are_compared_once(spark):
+    """What is left to compare after the neighbours are the lines of keys of three or more."""
+    pairs = spark.createDataFrame([(1, 5, 6), (2, 5, 7), (2, 7, 9), (3, 9, 5), (4, 1, 2), (4, 2, 3),
+                                   (4, 3, 8)], "key long, a long, b long")
+    assert got(line_dedup._lists(pairs)) == sorted(
+        [(2, 5), (2, 7), (2, 9), (4, 1), (4, 2), (4, 3), (4, 8)], key=repr)
+
+
+def test_line_dedup_drops_the_tables_of_finished_steps(docs, monkeypatch):
+    left = {}
+
+    def stored(df, name):
+        out = common.stored(df, name)
+        left[out.stored_path] = name
+        return out
+
+    def drop_stored(*tables):
+        common.drop_stored(*tables)
+        for t in tables:
+            left.pop(getattr(t, "stored_path", None), None)
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    monkeypatch.setattr(line_dedup, "drop_stored", drop_stored)
+    line_dedup.dropped_lines(docs)
+    assert not {"line-neighbours", "line-lists", "line-open", "line-distinct", "line-sketches"
+                } & set(left.values())
+
+
 def test_lines_of_one_key_over_many_tasks(spark):
     """Neighbours are found across the ends of tasks, also where one key fills several."""
     keys = [1] * 400 + [2] + [3] * 3 + [4] * 90
